@@ -23,7 +23,7 @@ from urlwarden.functions.text import (
     ANY_DIGIT, ANY_LETTER, ANY_UPPERCASE, contains_any, flag, is_ascii,
     occurrences, removed_bytes, removed_chars, words_present,
 )
-from urlwarden.functions.urlparts import with_url_parts
+from urlwarden.functions.urlparts import top_level_domain, with_url_parts
 from urlwarden.functions.vocab import (
     BRAND_KEYWORDS, BROWSER_DOUBLED_KEYWORD, COMMON_TLDS, FEATURE_NAMES,
     SENSITIVE_WORDS, SHORTENERS, SPECIAL_CHARACTERS, SUSPICIOUS_KEYWORDS,
@@ -148,7 +148,7 @@ def _host(t: _Texts, any_script: bool) -> dict[str, Column]:
     digits, letters, _ = _class_counts(t.host, any_script=any_script)
     dotted = F.contains(t.host, F.lit("."))
     last_label = F.substring_index(t.host, ".", -1)
-    tld = F.when(dotted, F.lower(last_label)).when(t.host.isNotNull(), "")
+    tld = top_level_domain(t.host)
     labels = F.split(t.host, r"\.")
     inner = F.slice(labels, F.lit(1), F.size(labels) - F.lit(1))
     code = F.when(tld.isNull(), None)
@@ -271,14 +271,14 @@ def url_features(
         staged = with_url_parts(df, url_col, prefix=p)
         text = F.nullif(F.col(url_col), F.lit(""))
         domain, host = F.col(p + "netloc"), F.col(p + "host")
-    staged = staged.withColumn(p + "text", text)
-    text = F.col(p + "text")
     staged = staged.withColumns({
+        p + "text": text,
         p + "low": F.lower(text),
         p + "low_domain": F.lower(domain),
         p + "marks": F.regexp_replace(text, r"\p{Alnum}+", ""),
         p + "chars": utf16_length(text) if browser else F.length(text),
     })
+    text = F.col(p + "text")
     col = {n: F.col(p + n) for n in ("low", "low_domain", "marks", "chars", "scheme", "path", "query", "fragment")}
     texts = _Texts(url=text, domain=domain, host=host, **col)
     formulas = (

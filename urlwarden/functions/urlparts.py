@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from urlwarden.functions.text import is_ascii
 from urlwarden.functions.vocab import NFKC_UNSAFE, code_point_class
 
-PART_NAMES = ("scheme", "netloc", "path", "params", "query", "fragment", "host", "tld")
+PART_NAMES = ("scheme", "netloc", "path", "params", "query", "fragment", "host")
 
 
 def _ipv6_pattern() -> str:
@@ -69,7 +69,7 @@ def _netloc_rejected(netloc: Column) -> Column:
 
 
 def with_url_parts(df: DataFrame, url_col: str = "url", prefix: str = "") -> DataFrame:
-    """Add ``scheme netloc path params query fragment host tld`` columns.
+    """Add ``scheme netloc path params query fragment host`` columns.
 
     A rejected address parses as ``http://invalid``; a null or empty one gives
     nulls.
@@ -77,51 +77,51 @@ def with_url_parts(df: DataFrame, url_col: str = "url", prefix: str = "") -> Dat
     def tmp(name: str) -> str:
         return f"__{prefix}{name}"
 
-    url = F.col(url_col)
-    df = df.withColumn(tmp("full"), without_line_breaks(with_scheme(F.nullif(url, F.lit("")))))
+    kept = [F.col(f"`{name}`") for name in df.columns]
+    url = F.nullif(F.col(url_col), F.lit(""))
+    df = df.select(*kept, without_line_breaks(with_scheme(url)).alias(tmp("full")))
     full = F.col(tmp("full"))
     secure = F.startswith(full, F.lit("https://"))
-    df = df.withColumns({
-        tmp("scheme"): F.when(secure, "https").when(full.isNotNull(), "http"),
-        tmp("rest"): F.substring(full, F.when(secure, 9).otherwise(8), F.length(full)),
-    })
-    rest = F.col(tmp("rest"))
-    df = df.withColumn(tmp("nofrag"), F.substring_index(rest, "#", 1))
-    nofrag = F.col(tmp("nofrag"))
-    df = df.withColumn(tmp("noquery"), F.substring_index(nofrag, "?", 1))
+    rest = F.substring(full, F.when(secure, 9).otherwise(8), F.length(full))
+    df = df.select(*kept, secure.alias(tmp("secure")), rest.alias(tmp("rest")))
+    secure, rest = F.col(tmp("secure")), F.col(tmp("rest"))
+    nofrag = F.substring_index(rest, "#", 1)
+    noquery = F.substring_index(nofrag, "?", 1)
+    df = df.select(
+        *kept, secure, noquery.alias(tmp("noquery")),
+        after(nofrag, noquery, 1).alias(tmp("query")), after(rest, nofrag, 1).alias(tmp("fragment")),
+    )
     noquery = F.col(tmp("noquery"))
-    df = df.withColumn(tmp("netloc"), F.substring_index(noquery, "/", 1))
-    netloc = F.col(tmp("netloc"))
-    df = df.withColumns({
-        tmp("bad"): _netloc_rejected(netloc),
-        tmp("longpath"): after(noquery, netloc),
-    })
-    bad, longpath = F.col(tmp("bad")), F.col(tmp("longpath"))
-    df = df.withColumn(tmp("last"), F.substring_index(longpath, "/", -1))
-    last = F.col(tmp("last"))
-    df = df.withColumn(tmp("lastcut"), F.substring_index(last, ";", 1))
-    lastcut = F.col(tmp("lastcut"))
-
-    def unless_bad(value: Column, fallback: str) -> Column:
-        return F.when(bad, F.lit(fallback)).otherwise(value)
-
-    df = df.withColumns({
-        f"{prefix}scheme": unless_bad(F.col(tmp("scheme")), "http"),
-        f"{prefix}netloc": unless_bad(netloc, "invalid"),
-        f"{prefix}path": unless_bad(
-            F.substring(longpath, F.lit(1), F.length(longpath) - F.length(last) + F.length(lastcut)), ""
-        ),
-        f"{prefix}params": unless_bad(after(last, lastcut, 1), ""),
-        f"{prefix}query": unless_bad(after(nofrag, noquery, 1), ""),
-        f"{prefix}fragment": unless_bad(after(rest, nofrag, 1), ""),
-    })
-    df = df.withColumn(f"{prefix}host", F.substring_index(f"{prefix}netloc", ":", 1))
-    host = F.col(f"{prefix}host")
-    df = df.withColumn(
-        f"{prefix}tld",
-        F.when(F.contains(host, F.lit(".")), F.lower(F.substring_index(host, ".", -1)))
-        .when(host.isNotNull(), ""),
+    netloc = F.substring_index(noquery, "/", 1)
+    longpath = after(noquery, netloc)
+    df = df.select(
+        *kept, secure, F.col(tmp("query")), F.col(tmp("fragment")),
+        netloc.alias(tmp("netloc")), longpath.alias(tmp("longpath")),
+        F.substring_index(longpath, "/", -1).alias(tmp("last")),
+    )
+    netloc, longpath, last = F.col(tmp("netloc")), F.col(tmp("longpath")), F.col(tmp("last"))
+    lastcut = F.substring_index(last, ";", 1)
+    bad = _netloc_rejected(netloc)
+
+    def unless_bad(value: Column, fallback: str, name: str) -> Column:
+        return F.when(bad, F.lit(fallback)).otherwise(value).alias(f"{prefix}{name}")
+
+    scheme = F.when(secure, "https").when(netloc.isNotNull(), "http")
+    path = F.substring(longpath, F.lit(1), F.length(longpath) - F.length(last) + F.length(lastcut))
+    return df.select(
+        *kept,
+        unless_bad(scheme, "http", "scheme"),
+        unless_bad(netloc, "invalid", "netloc"),
+        unless_bad(path, "", "path"),
+        unless_bad(after(last, lastcut, 1), "", "params"),
+        unless_bad(F.col(tmp("query")), "", "query"),
+        unless_bad(F.col(tmp("fragment")), "", "fragment"),
+        unless_bad(F.substring_index(netloc, ":", 1), "invalid", "host"),
     )
-    return df.drop(*(tmp(n) for n in (
-        "full", "scheme", "rest", "nofrag", "noquery", "netloc", "bad", "longpath", "last", "lastcut",
-    )))
+
+
+def top_level_domain(host: Column) -> Column:
+    """The last label in lower case; empty when there is only one label."""
+    return F.when(
+        F.contains(host, F.lit(".")), F.lower(F.substring_index(host, ".", -1))
+    ).when(host.isNotNull(), "")
