@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from urlwarden.functions.text import is_ascii
+from urlwarden.functions.text import is_ascii, sealed
 from urlwarden.functions.urlparts import IPV6, after, without_line_breaks
 
 # Default ports of the schemes with special host rules.
@@ -56,6 +56,7 @@ def with_browser_parts(
     def c(name: str) -> Column:
         return F.col(tmp(name))
 
+    kept = [F.col(f"`{name}`") for name in df.columns]
     url = F.nullif(F.col(url_col), F.lit(""))
     if assume_http:
         url = F.when(F.startswith(url, F.lit("http")), url).otherwise(F.concat(F.lit("http://"), url))
@@ -102,7 +103,7 @@ def with_browser_parts(
         default_port = default_port | ((c("scheme") == scheme) & (c("portnum") == port))
     path = F.when(c("hier").isNull(), c("body")).otherwise(after(c("hier"), c("authority")))
     query, fragment = after(c("nofrag"), c("noquery"), 1), after(c("rest"), c("nofrag"), 1)
-    df = df.withColumns({
+    return sealed(df, kept, {
         f"{prefix}scheme": when_ok(c("scheme")),
         f"{prefix}host": when_ok(F.when(special | (c("scheme") == "file"), F.lower(c("host"))).otherwise(c("host"))),
         f"{prefix}port": when_ok(F.when(default_port, -1).otherwise(c("portnum")).cast("bigint")),
@@ -110,7 +111,3 @@ def with_browser_parts(
         f"{prefix}query": when_ok(F.when(query != "", F.concat(F.lit("?"), query)).otherwise("")),
         f"{prefix}fragment": when_ok(F.when(fragment != "", F.concat(F.lit("#"), fragment)).otherwise("")),
     })
-    return df.drop(*(tmp(n) for n in (
-        "full", "scheme", "rest", "nofrag", "noquery", "body", "hier", "authority", "hostport",
-        "host", "portpart", "portnum", "ok",
-    )))

@@ -9,7 +9,7 @@ from __future__ import annotations
 from collections.abc import Iterable
 from functools import reduce
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from urlwarden.functions.vocab import OTHER_DIGITS, code_point_class
@@ -52,3 +52,15 @@ def contains_any(text: Column, words: Iterable[str]) -> Column:
 def words_present(text: Column, words: Iterable[str]) -> Column:
     """How many of ``words`` occur in ``text`` (each counted once)."""
     return reduce(lambda a, b: a + b, (flag(F.contains(text, F.lit(w))) for w in words))
+
+
+def sealed(df: DataFrame, kept: Iterable[Column], computed: dict[str, Column]) -> DataFrame:
+    """Select ``kept`` and ``computed``, the latter through a one-row generator.
+
+    A filter or join on a computed column would otherwise be moved below all
+    stages of its computation, with the stages written out in full inside the
+    condition, which grows exponentially with their number. Conditions do not
+    move past a generator's output.
+    """
+    row = F.struct(*(column.alias(name) for name, column in computed.items()))
+    return df.select(*kept, F.inline_outer(F.array(row)))

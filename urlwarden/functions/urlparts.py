@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from urlwarden.functions.text import is_ascii
+from urlwarden.functions.text import is_ascii, sealed
 from urlwarden.functions.vocab import NFKC_UNSAFE, code_point_class
 
 PART_NAMES = ("scheme", "netloc", "path", "params", "query", "fragment", "host")
@@ -103,21 +103,20 @@ def with_url_parts(df: DataFrame, url_col: str = "url", prefix: str = "") -> Dat
     lastcut = F.substring_index(last, ";", 1)
     bad = _netloc_rejected(netloc)
 
-    def unless_bad(value: Column, fallback: str, name: str) -> Column:
-        return F.when(bad, F.lit(fallback)).otherwise(value).alias(f"{prefix}{name}")
+    def unless_bad(value: Column, fallback: str) -> Column:
+        return F.when(bad, F.lit(fallback)).otherwise(value)
 
     scheme = F.when(secure, "https").when(netloc.isNotNull(), "http")
     path = F.substring(longpath, F.lit(1), F.length(longpath) - F.length(last) + F.length(lastcut))
-    return df.select(
-        *kept,
-        unless_bad(scheme, "http", "scheme"),
-        unless_bad(netloc, "invalid", "netloc"),
-        unless_bad(path, "", "path"),
-        unless_bad(after(last, lastcut, 1), "", "params"),
-        unless_bad(F.col(tmp("query")), "", "query"),
-        unless_bad(F.col(tmp("fragment")), "", "fragment"),
-        unless_bad(F.substring_index(netloc, ":", 1), "invalid", "host"),
-    )
+    return sealed(df, kept, {
+        f"{prefix}scheme": unless_bad(scheme, "http"),
+        f"{prefix}netloc": unless_bad(netloc, "invalid"),
+        f"{prefix}path": unless_bad(path, ""),
+        f"{prefix}params": unless_bad(after(last, lastcut, 1), ""),
+        f"{prefix}query": unless_bad(F.col(tmp("query")), ""),
+        f"{prefix}fragment": unless_bad(F.col(tmp("fragment")), ""),
+        f"{prefix}host": unless_bad(F.substring_index(netloc, ":", 1), "invalid"),
+    })
 
 
 def top_level_domain(host: Column) -> Column:

@@ -150,6 +150,7 @@ def browser_formulas() -> dict[str, str]:
         **_class_features("[0-9]", "[a-zA-Z]", "[A-Z]"),
         "url_length": "chars",
         "query_length": "length(q) + length(regexp_replace(q, '[^😀]', '', 'g'))",
+        "fragment_length": "length(frag) + length(regexp_replace(frag, '[^😀]', '', 'g'))",
         "has_port": yes("port >= 0"), "port_number": "port",
         "has_https_in_domain": yes("contains(dom, 'https')"),
         "has_http_in_domain": yes("contains(dom, 'http')"),
@@ -163,9 +164,10 @@ def browser_formulas() -> dict[str, str]:
     }
 
 
-def _typed(name: str, formula: str) -> str:
+def _typed(name: str, formula: str, exact: bool) -> str:
     if name in DOUBLE_FEATURES:
-        return f"round(CAST({formula} AS DOUBLE), 6)"
+        value = f"CAST({formula} AS DOUBLE)"
+        return value if exact else f"round({value}, 6)"
     return f"CAST({formula} AS {'BIGINT' if name in BIGINT_FEATURES else 'INTEGER'})"
 
 
@@ -228,9 +230,11 @@ texts AS (SELECT *, lower(u) AS l, lower(dom) AS lowdom, dom AS h,
        CASE WHEN contains(dom, '.') THEN lower(string_split(dom, '.')[-1]) ELSE '' END AS t FROM parts)"""
 
 
-def features_sql(names=FEATURE_NAMES, profile: str = "training", keep=("url",), addresses: str | None = None) -> str:
-    """CTE text ending in ``feats``: kept columns and the named features."""
+def features_sql(names=FEATURE_NAMES, profile: str = "training", keep=("url",), addresses: str | None = None,
+                 exact: bool = False) -> str:
+    """CTE text ending in ``feats``: kept columns and the named features
+    (doubles to six places unless ``exact``)."""
     formulas = training_formulas() if profile == "training" else browser_formulas()
     stages = PARTS_SQL if profile == "training" else browser_parts_sql() + "," + BROWSER_TEXTS_SQL
-    columns = [f"CASE WHEN u IS NOT NULL THEN {_typed(n, formulas[n])} END AS {n}" for n in names]
+    columns = [f"CASE WHEN u IS NOT NULL THEN {_typed(n, formulas[n], exact)} END AS {n}" for n in names]
     return f"{addresses or ''}{',' if addresses else ''}{stages}, feats AS (SELECT {', '.join([*keep, *columns])} FROM texts)"

@@ -102,7 +102,7 @@ def parents(spark, sf_dir):
 _ITEM_TOTALS = ", ".join(f"round(sum({n}), 3) AS {n}" if n in DOUBLE_FEATURES else f"CAST(sum({n}) AS BIGINT) AS {n}" for n in FEATURE_NAMES)
 
 
-@register("feature_totals", f"""WITH {features_sql(FEATURE_NAMES, keep=('l_returnflag',), addresses=corpora.ITEMS_SQL)}
+@register("feature_totals", f"""WITH {features_sql(FEATURE_NAMES, keep=('l_returnflag',), addresses=corpora.ITEMS_SQL, exact=True)}
 SELECT l_returnflag, count(*) AS n, {_ITEM_TOTALS} FROM feats GROUP BY l_returnflag""")
 def feature_totals(spark, sf_dir):
     """All 73 features over one address per line item."""
@@ -111,18 +111,20 @@ def feature_totals(spark, sf_dir):
     return features.groupBy("l_returnflag").agg(F.count("*").alias("n"), *totals)
 
 
-@register("feature_array_totals", f"""WITH {features_sql(FEATURE_NAMES, 'browser', addresses=corpora.ADDRESSES_SQL)}
+@register("feature_array_totals", f"""WITH {features_sql(FEATURE_NAMES, 'browser', addresses=corpora.ADDRESSES_SQL, exact=True)}
 SELECT CAST(pos - 1 AS INTEGER) AS pos, round(sum(CAST(v AS DOUBLE)), 1) AS total, count(*) AS n
 FROM (SELECT unnest([{', '.join(f'CAST({n} AS FLOAT)' for n in FEATURE_NAMES)}]) AS v, unnest(range(1, 74)) AS pos FROM feats
       WHERE url_length IS NOT NULL) GROUP BY pos""")
 def feature_array_totals(spark, sf_dir):
-    vectors = training.feature_array(rounded(url_features(corpora.addresses(spark, sf_dir), profile="browser")))
-    cells = vectors.select(F.posexplode("vector").alias("pos", "v"))
+    vectors = training.feature_array(url_features(corpora.addresses(spark, sf_dir), profile="browser"))
+    # The outer form keeps the optimizer from filtering on, and so repeating,
+    # the whole array expression.
+    cells = vectors.select(F.posexplode_outer("vector").alias("pos", "v")).where("pos IS NOT NULL")
     return cells.groupBy("pos").agg(F.round(F.sum(F.col("v").cast("double")), 1).alias("total"), F.count("*").alias("n"))
 
 
-@register("tld_profile", f"""WITH {features_sql(('url_length', 'entropy_url', 'qty_suspicious_keywords', 'has_ip_address'), keep=('t AS tld',), addresses=corpora.ADDRESSES_SQL)}
-SELECT tld, count(*) AS n, round(avg(url_length), 6) AS avg_length, round(avg(entropy_url), 4) AS avg_entropy,
+@register("tld_profile", f"""WITH {features_sql(('url_length', 'entropy_url', 'qty_suspicious_keywords', 'has_ip_address'), keep=('t AS tld',), addresses=corpora.ADDRESSES_SQL, exact=True)}
+SELECT tld, count(*) AS n, round(avg(url_length), 6) AS avg_length, round(avg(entropy_url), 5) AS avg_entropy,
 CAST(sum(qty_suspicious_keywords) AS BIGINT) AS keywords, CAST(sum(has_ip_address) AS BIGINT) AS ip_hosts
 FROM feats WHERE url_length IS NOT NULL GROUP BY tld""")
 def tld_profile(spark, sf_dir):
@@ -131,7 +133,7 @@ def tld_profile(spark, sf_dir):
     features = url_features(parts, features=("url_length", "entropy_url", "qty_suspicious_keywords", "has_ip_address"))
     return features.groupBy("tld").agg(
         F.count("*").alias("n"), F.round(F.avg("url_length"), 6).alias("avg_length"),
-        F.round(F.avg("entropy_url"), 4).alias("avg_entropy"),
+        F.round(F.avg("entropy_url"), 5).alias("avg_entropy"),
         F.sum("qty_suspicious_keywords").alias("keywords"), F.sum("has_ip_address").alias("ip_hosts"),
     )
 
