@@ -7,6 +7,9 @@ Each step is a small map-side-combined count, so no row is moved or sorted, and
 the result is a handful of boundary values. Assigning a row to its part then is
 a plain comparison, stable across retries and in streams.
 
+The input is read once per step (two or three times in all), so hand over
+stored or checkpointed data rather than a long computation.
+
 Rows with equal keys always land in the same part.
 """
 

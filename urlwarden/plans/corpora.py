@@ -65,9 +65,16 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """Use all cores on a table that comes as one small file. A table that is
+    already read by enough tasks stays as it is, without a shuffle."""
+    wanted = df.sparkSession.sparkContext.defaultParallelism
+    return df if df.rdd.getNumPartitions() >= wanted else df.repartition(wanted)
+
+
 def addresses(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``page_id, url``: every page address in every pattern."""
-    pages = table(spark, sf_dir, "pages").selectExpr(*PAGE_COLUMNS)
+    pages = spread(table(spark, sf_dir, "pages").select("page_id", "url")).selectExpr(*PAGE_COLUMNS)
     return pages.select("page_id", F.explode(F.array(*(F.expr(p) for p in ADDRESS_PATTERNS))).alias("url"))
 
 
@@ -86,7 +93,8 @@ ITEMS_SQL = (
 
 
 def item_addresses(spark: SparkSession, sf_dir: str) -> DataFrame:
-    items = table(spark, sf_dir, "lineitem").withColumn("h", F.expr(ITEM_HASH))
+    columns = ("l_orderkey", "l_linenumber", "l_returnflag", "l_linestatus", "l_partkey")
+    items = spread(table(spark, sf_dir, "lineitem").select(*columns)).withColumn("h", F.expr(ITEM_HASH))
     return items.select("l_returnflag", F.expr(ITEM_ADDRESS).alias("url"))
 
 

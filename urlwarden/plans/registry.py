@@ -237,7 +237,10 @@ parts AS (SELECT url, label, CASE WHEN row_number() OVER (PARTITION BY label ORD
 
 
 def labelled_items(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return corpora.item_addresses(spark, sf_dir).select("url", (F.col("l_returnflag") == "R").cast("int").alias("label")).distinct()
+    """Stored once, because finding split boundaries reads its input repeatedly."""
+    checkpoint_dir(spark)
+    items = corpora.item_addresses(spark, sf_dir).select("url", (F.col("l_returnflag") == "R").cast("int").alias("label"))
+    return items.distinct().checkpoint()
 
 
 @register("split_holdout", f"{_BASE_SQL}, {_HOLDOUT_SQL} SELECT url, label, split FROM parts")
@@ -537,12 +540,12 @@ def training_features(spark: SparkSession, sf_dir: str) -> DataFrame:
     return features.withColumn("label", F.expr(corpora.TRUTH))
 
 
-SMALL_PARAMS = training.GbtParams(iterations=5, learning_rate=0.3, depth=4, max_bins=32)
+SMALL_PARAMS = training.GbtParams(iterations=4, learning_rate=0.3, depth=4, max_bins=32)
 
 
 @register("gbt_train")
 def gbt_train(spark, sf_dir):
-    run = training.train(training_features(spark, sf_dir), SMALL_PARAMS)
+    run = training.train(training_features(spark, sf_dir), SMALL_PARAMS, folds=3)
     return spark.createDataFrame([(k, v) for k, v in run.metrics.items()], "metric string, value double")
 
 
