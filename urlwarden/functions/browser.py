@@ -79,7 +79,8 @@ def with_browser_parts(
     bracketed = F.startswith(c("hostport"), F.lit("["))
     df = df.withColumn(
         tmp("host"),
-        F.when(bracketed, F.concat(F.substring_index(c("hostport"), "]", 1), F.lit("]")))
+        F.when(bracketed & F.contains(c("hostport"), F.lit("]")),
+               F.concat(F.substring_index(c("hostport"), "]", 1), F.lit("]")))
         .otherwise(F.substring_index(c("hostport"), ":", 1)),
     )
     df = df.withColumn(tmp("portpart"), after(c("hostport"), c("host")))

@@ -205,7 +205,7 @@ b4 AS (SELECT *, CASE WHEN special THEN replace(body0, chr(92), '/') ELSE body0
 b5 AS (SELECT *, CASE WHEN special THEN regexp_replace(body, '^/*', '') WHEN starts_with(body, '//') THEN substr(body, 3) END AS hier FROM b4),
 b6 AS (SELECT *, coalesce(regexp_extract(hier, '^[^/]*', 0), '') AS authority FROM b5),
 b7 AS (SELECT *, regexp_replace(authority, '^.*@', '') AS hostport FROM b6),
-b8 AS (SELECT *, CASE WHEN starts_with(hostport, '[') THEN regexp_extract(hostport, '^[^\]]*', 0) || ']'
+b8 AS (SELECT *, CASE WHEN starts_with(hostport, '[') AND contains(hostport, ']') THEN regexp_extract(hostport, '^[^\]]*', 0) || ']'
        ELSE regexp_extract(hostport, '^[^:]*', 0) END AS host0 FROM b7),
 b9 AS (SELECT *, substr(hostport, length(host0) + 1) AS portpart FROM b8),
 b10 AS (SELECT *, scheme0 <> '' AND regexp_matches(portpart, '^(:[0-9]*)?$')
