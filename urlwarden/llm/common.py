@@ -6,7 +6,7 @@ import sys
 import uuid
 from collections.abc import Iterable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructField, StructType
 
@@ -44,6 +44,12 @@ def text_of(column: str):
     return F.coalesce(F.col(column).cast("string"), F.lit(""))
 
 
+def document_key(id_col: str, text_col: str) -> list[Column]:
+    """``k1, k2``: numbers that rows share only if they have equal ids and texts."""
+    text = F.col(text_col).cast("string")
+    return [F.xxhash64(F.col(id_col), text).alias("k1"), F.hash(text, F.col(id_col)).alias("k2")]
+
+
 def worker_store() -> dict:
     """A dictionary that lives as long as the Python worker does."""
     return sys.__dict__.setdefault("_urlwarden_store", {})

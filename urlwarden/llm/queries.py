@@ -5,22 +5,51 @@ from __future__ import annotations
 from collections.abc import Callable
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from urlwarden.llm import linededup, quality
 from urlwarden.llm.common import read
 from urlwarden.llm.packing import pack
+from urlwarden.llm.simhash import near_copies
 
 BYTE_BPE = public_tokenizers.path("byte_bpe_50k.json")
 
 
+def remainder(id_col: str, by: int) -> Column:
+    """crc32 of the id as text, modulo ``by``."""
+    return F.crc32(F.col(id_col).cast("string")) % by
+
+
+def op2_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, labels = read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels")
+    held_out = F.coalesce(remainder("doc_id", 5) == 0, F.lit(False))
+    model = quality.fit(docs, labels.where(remainder("doc_id", 5) != 0))
+    return quality.scored(docs, model).select("doc_id", held_out.alias("held_out"), "score", "predicted")
+
+
+def op3_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = near_copies(read(spark, sf_dir, "documents"))
+    return found.withColumn("fingerprint", F.lower(F.lpad(F.hex("fingerprint"), 16, "0")))
+
+
 def op6_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     pieces = pack(read(spark, sf_dir, "documents"), BYTE_BPE)
     return pieces.select(
         "doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset", "opens", "closes")
 
 
+def op9_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    cleaned = linededup.without_shared_lines(read(spark, sf_dir, "documents"))
+    return cleaned.select("doc_id", "n_lines", "n_removed", "text")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op2_quality": op2_quality,
+    "op3_simhash": op3_simhash,
     "op6_packing": op6_packing,
+    "op9_line_dedup": op9_line_dedup,
+}
+SQL: dict[str, str] = {
+    "op9_line_dedup": linededup.SQL,
 }
-SQL: dict[str, str] = {}
