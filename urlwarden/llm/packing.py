@@ -31,7 +31,7 @@ def encoded(docs: DataFrame, tokenizer: str, id_col: str, text_col: str, end_id:
         words, place, part = subwords(tokenizer), 0, TaskContext.get().partitionId()
         end = np.array([end_id], dtype=words.dtype).tobytes()
         for batch in batches:
-            rows = [words.encode(text) + end for text in batch.column(1).to_pylist()]
+            rows = [ids + end for ids in words.encode(batch.column(1).to_pylist())]
             ends = place + np.cumsum([len(ids) // words.dtype.itemsize for ids in rows], dtype=np.int64)
             starts = np.concatenate([[place], ends[:-1]]) if rows else ends
             place = int(ends[-1]) if rows else place

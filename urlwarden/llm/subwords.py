@@ -1,24 +1,27 @@
-"""Ids of a byte-level BPE vocabulary, by `tokenizers`, with each piece of text encoded once.
+"""Ids of a byte-level BPE vocabulary, by `tokenizers`, with each word encoded once.
 
-The vocabulary's pattern never lets a token reach from a visible character into
-the space after it. So a text may be cut there, and equal cuts have equal ids.
-Most words repeat; a dictionary of cuts saves most calls.
+The vocabulary's pattern cuts a text before any merge, and equal cuts have equal
+ids. Texts of plain characters are cut here by the same pattern; a dictionary of
+cuts then saves most calls, and new cuts are encoded together, one to a line.
+Texts with other characters are encoded whole.
 """
 
 from __future__ import annotations
 
 import os
 import re
+from collections.abc import Iterable
 
 import numpy as np
 
 from urlwarden.llm.common import worker_store
 
-CUTS = re.compile(r"[ \n]*[^ \n]+|[ \n]+")
-# White space other than blank and line feed, characters on which libraries
-# differ, and what may be a special token: such texts are encoded in one piece.
-UNUSUAL = re.compile("[^\\S \\n]|[\x1c-\x1f\x85\u180e\u200b\u2060\ufeff]|<\\|")
-KEPT_CUTS = 400_000
+LETTERS = "A-Za-zÀ-ÖØ-öø-ÿ"
+# The vocabulary's pattern, for texts without a character that UNUSUAL finds.
+CUTS = re.compile(f"'(?:[stmd]|re|ve|ll)| ?[{LETTERS}]+| ?[0-9]+| ?[^ \\n0-9{LETTERS}]+|[ \\n]+(?![^ \\n])|[ \\n]+")
+UNUSUAL = re.compile("[^\\n -~À-ÿ]")  # "<|" may open a special token; such texts are unusual too
+KEPT_CUTS = 1_000_000  # in two halves; what isn't met again while one fills is forgotten
+LINES = 100  # new cuts in one text
 
 
 class Subwords:
@@ -28,28 +31,42 @@ class Subwords:
         self.tokenizer = Tokenizer.from_file(path)
         self.dtype = np.dtype("<u2") if self.tokenizer.get_vocab_size() <= 1 << 16 else np.dtype("<u4")
         self.known: dict[str, bytes] = {}
+        self.older: dict[str, bytes] = {}
+        self.line = self.ids("\n")
 
-    def whole(self, texts: list[str]) -> list[bytes]:
-        found = self.tokenizer.encode_batch(texts, add_special_tokens=False)
-        return [np.array(x.ids, dtype=self.dtype).tobytes() for x in found]
-
-    def cuts(self, cuts: list[str]) -> list[bytes]:
-        """Ids of each cut, as bytes of ``dtype``."""
-        known = self.known
-        new = list({c for c in cuts if c not in known})
-        if len(known) + len(new) > KEPT_CUTS:
-            known.clear()
-            new = list(dict.fromkeys(cuts))
-        for at in range(0, len(new), 10_000):
-            some = new[at:at + 10_000]
-            known.update(zip(some, self.whole(some)))
-        return [known[c] for c in cuts]
-
-    def encode(self, text: str) -> bytes:
-        """Ids of the text, as bytes of ``dtype``."""
-        if UNUSUAL.search(text):
-            return self.whole([text])[0]
-        return b"".join(self.cuts(CUTS.findall(text)))
+    def ids(self, text: str) -> bytes:
+        return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, dtype=self.dtype).tobytes()
+
+    def learn(self, cuts: list[str]) -> None:
+        if len(self.known) > KEPT_CUTS // 2:
+            self.known, self.older = {}, self.known
+        self.known.update((c, self.older[c]) for c in cuts if c in self.older)
+        new = [c for c in cuts if c not in self.older]
+        lines = [c for c in new if "\n" not in c and c.strip(" ")]
+        self.known.update((c, self.ids(c)) for c in new if "\n" in c or not c.strip(" "))
+        if not lines:
+            return
+        groups = ["\n".join(lines[at:at + LINES]) + "\n" for at in range(0, len(lines), LINES)]
+        encoded = self.tokenizer.encode_batch(groups, add_special_tokens=False)
+        found = np.concatenate([np.array(x.ids, dtype=self.dtype) for x in encoded])
+        ends = np.flatnonzero(found == np.frombuffer(self.line, self.dtype)[0])
+        raw, each = found.tobytes(), self.dtype.itemsize
+        starts = np.concatenate([[0], ends[:-1] + 1]) * each
+        self.known.update(zip(lines, (raw[a:b] for a, b in zip(starts.tolist(), (ends * each).tolist()))))
+
+    def encode_one(self, text: str) -> bytes:
+        if "<|" in text or UNUSUAL.search(text):
+            return self.ids(text)
+        cuts = CUTS.findall(text)
+        found = list(map(self.known.get, cuts))
+        if None in found:
+            self.learn(list({c for c, x in zip(cuts, found) if x is None}))
+            found = [x or self.known[c] for c, x in zip(cuts, found)]
+        return b"".join(found)
+
+    def encode(self, texts: Iterable[str]) -> list[bytes]:
+        """Ids of each text, as bytes of ``dtype``."""
+        return [self.encode_one(text) for text in texts]
 
 
 def subwords(path: str) -> Subwords:
