@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+import pickle
 import sys
 import uuid
-from collections.abc import Iterable
+from collections.abc import Callable, Iterable
+from typing import Any
 
+from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructField, StructType
@@ -53,3 +56,29 @@ def document_key(id_col: str, text_col: str) -> list[Column]:
 def worker_store() -> dict:
     """A dictionary that lives as long as the Python worker does."""
     return sys.__dict__.setdefault("_urlwarden_store", {})
+
+
+def sent(spark: SparkSession, value: Any) -> Callable[[], Any]:
+    """Broadcast ``value``, whose classes may be of this package. The function
+    returned gives it to tasks; a Python worker unpacks it once."""
+    key, box = uuid.uuid4().hex, spark.sparkContext.broadcast(cloudpickle.dumps(value))
+
+    def received() -> Any:
+        kept = worker_store()
+        if kept.get("sent", (None,))[0] != key:
+            kept["sent"] = key, pickle.loads(box.value)
+        return kept["sent"][1]
+
+    return received
+
+
+def in_one_task(spark: SparkSession, work: Callable[[], Any]) -> Any:
+    """Run bounded work on an executor, where linear algebra keeps to the task's one core."""
+    def run(batches):
+        import pyarrow as pa
+
+        for _ in batches:
+            pass
+        yield pa.RecordBatch.from_arrays([pa.array([cloudpickle.dumps(work())], pa.binary())], names=["done"])
+
+    return pickle.loads(spark.range(1, numPartitions=1).mapInArrow(run, "done binary").first()["done"])

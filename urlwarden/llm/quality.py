@@ -18,6 +18,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from urlwarden.llm.common import in_one_task
+
 BUCKETS = 1 << 16
 DIMENSIONS = 16
 SAMPLE = 4000
@@ -170,7 +172,8 @@ def fit(
     bags = sample(docs, labels, id_col, text_col, label_col, rows).toPandas().sort_values("id")
     pairs = [(np.frombuffer(i, np.int32), np.frombuffer(c, np.float32)) for i, c in zip(bags["ids"], bags["counts"])]
     shares = [(i, c / max(1.0, float(c.sum()))) for i, c in pairs]
-    return Classifier(*train(shares, bags["label"].to_numpy()))
+    known = bags["label"].to_numpy()
+    return Classifier(*in_one_task(docs.sparkSession, lambda: train(shares, known)))
 
 
 def scored(docs: DataFrame, model: Classifier, text_col: str = "text", threshold: float = THRESHOLD) -> DataFrame:

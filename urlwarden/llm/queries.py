@@ -8,11 +8,17 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from urlwarden.llm import linededup, quality
+from urlwarden.llm import linededup, quality, spotsigs
 from urlwarden.llm.common import read
+from urlwarden.llm.htmltext import visible_text
+from urlwarden.llm.lm import lm_scores
+from urlwarden.llm.neighbours import neighbours
 from urlwarden.llm.packing import pack
+from urlwarden.llm.segment import decoded, sample_segmentations
 from urlwarden.llm.simhash import near_copies
+from urlwarden.llm.warc import archived
 
+PIECE_BPE = public_tokenizers.path("piece_bpe_32k.model")
 BYTE_BPE = public_tokenizers.path("byte_bpe_50k.json")
 
 
@@ -21,6 +27,10 @@ def remainder(id_col: str, by: int) -> Column:
     return F.crc32(F.col(id_col).cast("string")) % by
 
 
+def op1_spotsigs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spotsigs.compared(read(spark, sf_dir, "documents"))
+
+
 def op2_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs, labels = read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels")
     held_out = F.coalesce(remainder("doc_id", 5) == 0, F.lit(False))
@@ -33,22 +43,58 @@ def op3_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.withColumn("fingerprint", F.lower(F.lpad(F.hex("fingerprint"), 16, "0")))
 
 
+def op4_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = neighbours(read(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0)
+    return found.select("query_id", "rank", "vec_id", "score")
+
+
+def op5_segmentations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    talks = read(spark, sf_dir, "conversations")
+    found = sample_segmentations(talks, PIECE_BPE, ["conv_id", "turn", "text"])
+    back = decoded(F.col("ids"), PIECE_BPE).eqNullSafe(F.regexp_replace(F.coalesce("text", F.lit("")), "\u2581", " "))
+    return found.select("conv_id", "turn", "sample", "ids", "log_probability", "inclusion", back.alias("round_trip"))
+
+
 def op6_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     pieces = pack(read(spark, sf_dir, "documents"), BYTE_BPE)
     return pieces.select(
         "doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset", "opens", "closes")
 
 
+def op7_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return visible_text(read(spark, sf_dir, "pages"))
+
+
+def op8_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    index = archived(read(spark, sf_dir, "pages"))
+    return index.select(
+        F.col("page_id").cast("bigint").alias("page_id"), "payload_bytes", "payload_digest", "record_type",
+        F.col("refers_page").cast("bigint").alias("refers_to"), "url_key", "date", "place")
+
+
 def op9_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     cleaned = linededup.without_shared_lines(read(spark, sf_dir, "documents"))
     return cleaned.select("doc_id", "n_lines", "n_removed", "text")
 
 
+def op10_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents")
+    held_out = F.coalesce(remainder("doc_id", 7) == 2, F.lit(False))
+    scores = lm_scores(docs, BYTE_BPE, remainder("doc_id", 7) != 2)
+    return scores.select("doc_id", held_out.alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_spotsigs": op1_spotsigs,
     "op2_quality": op2_quality,
     "op3_simhash": op3_simhash,
+    "op4_neighbours": op4_neighbours,
+    "op5_segmentations": op5_segmentations,
     "op6_packing": op6_packing,
+    "op7_html_text": op7_html_text,
+    "op8_warc": op8_warc,
     "op9_line_dedup": op9_line_dedup,
+    "op10_lm_scoring": op10_lm_scoring,
 }
 SQL: dict[str, str] = {
     "op9_line_dedup": linededup.SQL,

@@ -79,18 +79,16 @@ def crowds(keyed: DataFrame) -> DataFrame:
 
 
 def buckets(prints: DataFrame, max_bits: int) -> DataFrame:
-    """``mask, value, fingerprint``: buckets of at most ``CROWD``, or of equal remains."""
-    session, masks, found, level = prints.sparkSession, [0], None, prints.select(F.lit(0).cast("bigint").alias("mask"), "fingerprint")
+    """``mask, value, fingerprint``: buckets of ``CROWD`` distinct fingerprints at most."""
+    masks, found, level = [0], None, prints.select(F.lit(0).cast("bigint").alias("mask"), "fingerprint")
     while True:
-        steps = [(m, child) for m in masks for child in finer(m & (1 << 64) - 1, max_bits)]
-        table = F.broadcast(session.createDataFrame(steps, "mask bigint, child bigint"))  # a few hundred rows at most
-        keyed = level.join(table, "mask").select(
-            F.col("child").alias("mask"), F.col("child").bitwiseAND(F.col("fingerprint")).alias("value"), "fingerprint").distinct()
-        crowd = crowds(keyed)
-        masks = sorted({child for _, child in steps})
-        last = all(m.bit_count() >= 64 - CROWD.bit_length() + 1 for m in (m & (1 << 64) - 1 for m in masks))
-        fit = crowd if last else crowd.where(F.col("n") <= CROWD)
-        fit = fit.select("mask", "value", "fingerprint")
+        steps = {m: finer(m & (1 << 64) - 1, max_bits) for m in masks}
+        children = F.create_map(*(x for m, some in steps.items() for x in (F.lit(m).cast("bigint"), F.array(*(F.lit(c).cast("bigint") for c in some)))))
+        dealt = level.select(F.explode(F.element_at(children, F.col("mask"))).alias("mask"), "fingerprint")
+        crowd = crowds(dealt.select("mask", F.col("mask").bitwiseAND(F.col("fingerprint")).alias("value"), "fingerprint").distinct())
+        masks = sorted({child for some in steps.values() for child in some})
+        last = all((m & (1 << 64) - 1).bit_count() > 64 - CROWD.bit_length() for m in masks)
+        fit = (crowd if last else crowd.where(F.col("n") <= CROWD)).select("mask", "value", "fingerprint")
         found = fit if found is None else found.union(fit)
         if last:
             return found
