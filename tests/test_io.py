@@ -61,9 +61,12 @@ def test_feature_table_is_reused_only_for_the_same_corpus(spark, tmp_path):
     path = str(tmp_path / "features")
     one = spark.createDataFrame([("a.com", 1), ("b.com", 0)], "url string, label int")
     assert writers.materialise_features(one, path).columns == ["url", "label", *FEATURE_NAMES]
-    first = {p.name for p in (tmp_path / "features" / "features").iterdir()}
+    first = {p for p in (tmp_path / "features").rglob("*")}
     writers.materialise_features(one, path)
-    assert {p.name for p in (tmp_path / "features" / "features").iterdir()} == first
+    assert {p for p in (tmp_path / "features").rglob("*")} == first
+    swapped = spark.createDataFrame([("a.com", 0), ("b.com", 1)], "url string, label int")
+    assert {r.url: r.label for r in writers.materialise_features(swapped, path).collect()} == {"a.com": 0, "b.com": 1}
+    assert {r.url: r.label for r in writers.materialise_features(one, path).collect()} == {"a.com": 1, "b.com": 0}
     other = spark.createDataFrame([("a.com", 1), ("c.com", 0)], "url string, label int")
     assert {r.url for r in writers.materialise_features(other, path).collect()} == {"a.com", "c.com"}
 
@@ -81,7 +84,13 @@ def test_train_save_load_score(spark, tmp_path):
     assert tuple(models.feature_order(loaded)) == FEATURE_NAMES
     info = models.read_metadata(spark, str(tmp_path), version).first()
     assert info.best_fold == 1 and info.metrics.roc_auc == run.metrics["roc_auc"] and len(info.feature_names) == 73
-    record = explain.prediction_record(training.score(training.as_float32(url_features(urls.limit(5))), loaded))
+    odd = spark.createDataFrame([(f"http://x{k}.com/{'ab%41' * k}?{k / 7}",) for k in range(40)], "url string")
+    features = url_features(odd.union(urls.select("url").limit(5)))
+    kept = training.score(features, run.kfold.best_model).select("url", "probability_phishing").collect()
+    assert training.score(features, loaded).select("url", "probability_phishing").collect() == kept
+    vectors = training.feature_vector(features).select("url", "features_vector").collect()
+    assert loaded.transform(features).select("url", "features_vector").collect() == vectors
+    record = explain.prediction_record(training.score(url_features(urls.limit(5)), loaded))
     assert record.columns == ["url", "prediction", "is_phishing", "probability_phishing", "probability_legitimate",
                               "confidence", "risk_level", "explanation", "features"]
     out = writers.write_predictions(record, str(tmp_path), datetime(2026, 1, 2))
@@ -89,6 +98,42 @@ def test_train_save_load_score(spark, tmp_path):
     curve = curves.learning_curve(run.kfold.best_model, training.feature_vector(url_features(urls)))
     assert sorted(r.iter for r in curve.collect()) == list(range(len(run.kfold.best_model.trees)))
     assert training.feature_importance(run.kfold.best_model, spark, 3).count() == 3
+    both = curves.learning_curves(run.kfold.best_model, {"learn": training.feature_vector(url_features(urls)), "test": run.holdout.sparkSession.createDataFrame(
+        training.feature_vector(url_features(urls)).select("label", "features_vector").limit(50).collect())}, every=5)
+    assert {r.dataset for r in both.collect()} == {"learn", "test"}
+
+
+def test_patience_shortens_a_model(spark):
+    urls = spark.range(300).select(F.concat(F.lit("http://h"), F.col("id").cast("string"), F.lit(".com")).alias("url"), (F.col("id") % 2).cast("int").alias("label"))
+    frame = training.feature_vector(url_features(urls)).withColumn("held", F.col("url").like("%7%"))
+    whole = training.fit_gbt(frame, training.GbtParams(iterations=6, depth=2, learning_rate=0.5, early_stopping_rounds=0), "held")
+    cut = training.fit_gbt(frame, training.GbtParams(iterations=6, depth=2, learning_rate=0.5, early_stopping_rounds=1), "held")
+    assert cut.getNumTrees <= whole.getNumTrees == 6
+    shorter = training.truncated(whole, 2)
+    assert shorter.getNumTrees == 2 and training.score(frame, shorter).count() == 300
+    margins = curves.learning_curve(whole, frame).where("iter = 1").first()
+    assert curves.learning_curve(shorter, frame).where("iter = 1").first() == margins
+
+
+def test_missing_cells_of_any_format(spark, tmp_path):
+    (tmp_path / "a.json").write_text('[{"url": "", "label": 1}, {"url": null, "label": 0}, {"url": "NA", "label": 1}, {"url": "x.com", "label": "null"}, {"url": "y.com", "label": 1}]')
+    frame = readers.read_labelled(spark, str(tmp_path / "a.json"))
+    assert [(r.url, r.label) for r in frame.collect()] == [(None, "1"), (None, "0"), (None, "1"), ("x.com", None), ("y.com", "1")]
+    stored = readers.as_parquet(spark, str(tmp_path / "a.json"), str(tmp_path / "stored"))
+    assert stored.collect() == readers.as_parquet(spark, "nowhere.json", str(tmp_path / "stored")).collect()
+    frame.write.parquet(str(tmp_path / "b.parquet"))
+    assert readers.read_labelled(spark, str(tmp_path / "b.parquet")).where("url IS NOT NULL").count() == 2
+
+
+def test_few_snapshots_stay(spark, tmp_path):
+    for k in range(6):
+        events(spark).limit(1).write.mode("append").json(str(tmp_path / "events"))
+    lists = listmatch.prepare_lists(*(one_column(spark, d) for d in ("good.com", "safe.org", "evil.io")))
+    stream = navigation.navigation_stream(spark, str(tmp_path / "events"), maxFilesPerTrigger=1)
+    counters = navigation.stream_counters(navigation.stream_verdicts(stream, lists))
+    navigation.persist_counters(counters, str(tmp_path / "counters"), str(tmp_path / "ck")).awaitTermination()
+    assert len(list((tmp_path / "counters").glob("batch=*"))) == navigation.KEPT_SNAPSHOTS
+    assert navigation.load_counters(spark, str(tmp_path / "counters")).first().sites_checked == 6
 
 
 def events(spark):

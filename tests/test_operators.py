@@ -175,10 +175,10 @@ def test_auc_against_brute_force(spark):
         assert r.auc == pytest.approx(brute([x[:2] for x in rows if x[2] == r.g]), abs=1e-12)
 
 
-@pytest.mark.parametrize("leaf_rows", [100_000, 3, 0])
-def test_splits_match_plain_ranking(spark, monkeypatch, leaf_rows):
+@pytest.mark.parametrize("digits", [3, 1, 0])
+def test_splits_match_plain_ranking(spark, monkeypatch, digits):
     import hashlib
-    monkeypatch.setattr(splits, "LEAF_ROWS", leaf_rows)
+    monkeypatch.setattr(splits, "PREFIX_DIGITS", digits)
     rows = [(f"u{i}", int(i % 3 == 0)) for i in range(103)]
     df = spark.createDataFrame(rows, "url string, label int").repartition(5)
 
@@ -186,7 +186,8 @@ def test_splits_match_plain_ranking(spark, monkeypatch, leaf_rows):
         return lambda u: (hashlib.md5(f"{u}|{seed}".encode()).hexdigest(), u)
 
     got = {r.url: r.split for r in splits.stratified_holdout(df).collect()}
-    sizes = splits.holdout_sizes({0: 68, 1: 35}, 0.2)
+    given = spark.createDataFrame([(0, 68), (1, 35)], "__y int, n bigint")
+    sizes = {r["__y"]: r["test"] for r in splits.holdout_sizes(given, 0.2).collect()}
     assert sum(sizes.values()) == math.ceil(0.2 * 103)
     for label in (0, 1):
         ranked = sorted((u for u, y in rows if y == label), key=order(127))
@@ -197,6 +198,39 @@ def test_splits_match_plain_ranking(spark, monkeypatch, leaf_rows):
         assert max(counts) - min(counts) <= 1 and sum(counts) == (35 if label else 68)
 
 
+def test_splits_with_many_classes_and_gaps(spark):
+    rows = [(f"u{i}", f"c{i % 700}") for i in range(2100)] + [(None, "c1"), ("u", None)]
+    df = spark.createDataFrame(rows, "url string, label string")
+    parts = splits.stratified_holdout(df)
+    assert parts.where("split = 'test'").count() == math.ceil(0.2 * 2100)
+    assert {r.split for r in parts.where("url IS NULL OR label IS NULL").collect()} == {None}
+    folds = splits.stratified_kfold(df, 3).where("fold IS NOT NULL").groupBy("label").agg(F.count_distinct("fold").alias("n"), F.count("*").alias("rows"))
+    assert {tuple(r) for r in folds.select("n", "rows").collect()} == {(3, 3)}
+
+
+def test_source_order_with_any_position(spark):
+    """Positions of any size, many sources: the earlier source wins, then the smaller position."""
+    sources = {}
+    for k in range(11):
+        rows = [("u", k, 2**63 - 1 - k if k % 2 else -2**63 + k), (f"own{k}", k, 1_760_000_000_000_000_000), (f"own{k}", 100 + k, -5)]
+        sources[f"s{k}"] = ingest.project(spark.createDataFrame(rows, "url string, label int, n bigint"), "url", "label", "n")
+    merged = ingest.union_sources(sources)
+    firsts = ingest.dedup_first(merged.select("url", "label", "seq"))
+    assert {r.url: r.label for r in firsts.collect()} == {"u": 0} | {f"own{k}": 100 + k for k in range(11)}
+    plan = firsts._jdf.queryExecution().executedPlan().toString()
+    assert "HashAggregate" in plan and "SortAggregate" not in plan
+
+
+def test_auc_of_any_scale(spark):
+    rng = random.Random(3)
+    pool = [s * 10.0 ** e for s in (-1, 1) for e in range(-300, 300, 7)] + [0.0, -0.0, float("inf"), float("-inf")]
+    rows = [(rng.randint(0, 1), rng.choice(pool)) for _ in range(500)]
+    pos, neg = [s for y, s in rows if y], [s for y, s in rows if not y]
+    want = sum((p > n) + (p == n) / 2 for p in pos for n in neg) / (len(pos) * len(neg))
+    df = spark.createDataFrame(rows, "label int, score double")
+    assert metrics.roc_auc(df).first().auc == pytest.approx(want, abs=1e-12)
+
+
 def test_split_keeps_equal_keys_together(spark):
     df = spark.createDataFrame([("hot", 0)] * 400 + [(f"u{i}", 0) for i in range(200)], "url string, label int")
     parts = splits.stratified_holdout(df).groupBy("url").agg(F.count_distinct("split").alias("n")).where("n > 1")
@@ -221,3 +255,59 @@ def test_texts(spark):
     assert [r.risk for r in out] == ["CRITICAL", "HIGH", "MEDIUM", "LOW"]
     assert out[0].text == "URL classified as PHISHING (95.0%). Reasons: is unusually long."
     assert out[3].text == "URL classified as safe (50.0%)."
+
+
+def test_ties_are_written_as_browsers_do(spark):
+    """Of two equally near tenths the larger, by exact arithmetic on the double."""
+    from decimal import ROUND_HALF_UP, Decimal
+    values = [k / 32 for k in range(33)] + [k / 1000 for k in range(1001)] + [0.12345, 0.0005, 1 / 3, 0.99949999]
+    df = spark.createDataFrame([(v,) for v in values], "v double")
+    for row in df.select("v", explain.percent_up(F.col("v")).alias("text")).collect():
+        assert row.text == f"{Decimal(row.v * 100).quantize(Decimal('0.1'), ROUND_HALF_UP)}%"
+
+
+def test_a_model_that_gives_nothing(spark):
+    lists = listmatch.prepare_lists(*(spark.createDataFrame([(d,)], "domain string") for d in ("w.com", "s.org", "b.io")))
+    df = spark.createDataFrame([(u,) for u in ("http://w.com", "http://b.io", "http://x.net/", "http://[")], "url string")
+    silent = lambda features: features.withColumns({"prediction": F.lit(None).cast("int"), "probability_phishing": F.lit(None).cast("double")})
+    got = {r.url: (r.result, r.reason, r.score, r.error, r.host) for r in cascade.verdict_cascade(df, lists, silent, host_col="host").collect()}
+    assert got == {
+        "http://w.com": ("safe", "whitelist", 0.0, None, "w.com"), "http://b.io": ("phishing", "blacklist", 1.0, None, "b.io"),
+        "http://x.net/": ("error", "prediction_failed", None, cascade.NO_ANSWER, "x.net"), "http://[": (None, None, None, None, None)}
+
+
+def test_the_model_is_called_once_under_alerts(spark):
+    """A filter on the verdict stays above it."""
+    from pyspark.sql.types import DoubleType
+    lists = listmatch.prepare_lists(*(spark.createDataFrame([(d,)], "domain string") for d in ("w.com", "s.org", "b.io")))
+    ask = F.udf(lambda n: None if n is None else min(n / 50, 1.0), DoubleType())
+
+    def scorer(features):
+        return features.withColumn("probability_phishing", ask("url_length")).withColumn("prediction", F.lit(0))
+
+    df = spark.createDataFrame([("http://" + "x" * 30 + ".net/",), ("http://y.net",)], "url string")
+    found = cascade.alerts(cascade.verdict_cascade(df, lists, scorer, host_col="host"))
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("ArrowEvalPython") + plan.count("BatchEvalPython") == 1
+    assert [r.host for r in found.collect()] == ["x" * 30 + ".net"]
+
+
+def test_hot_host_takes_the_shuffled_way(spark):
+    """Identical addresses on a third of the rows; the big-list way gives what the broadcast way gives."""
+    rows = [("http://a.hot.example.com/",)] * 3000 + [(f"http://h{k}.x{k % 50}.com/",) for k in range(6000)]
+    df = spark.createDataFrame(rows, "url string")
+    hosts = cascade.with_hostname(df)
+    lists = [spark.createDataFrame([(d,) for d in some], "domain string") for some in (["h1.x1.com"], ["example.com", "x2.com"], ["h3.x3.com"])]
+    small, big = listmatch.prepare_lists(*lists), listmatch.prepare_lists(*lists, max_rows=0)
+    assert small.small and not big.small
+    flags = ["url", "in_whitelist", "in_safe", "in_blacklist"]
+    want = sorted(map(tuple, listmatch.with_list_flags(hosts, small).select(*flags).collect()))
+    assert sorted(map(tuple, listmatch.with_list_flags(hosts, big).select(*flags).collect())) == want
+
+
+@pytest.mark.parametrize("url, host", [
+    ("http://999.1.1.1/", None), ("http://foo.123/", None), ("http://1.2.3/", None), ("http://1.2.3.4./", "1.2.3.4."), ("http://1.2.3.4:8/", "1.2.3.4"),
+    ("http://256.1.1.1", None), ("http://a.b1/", "a.b1"), ("foo://x.123/", "x.123"), ("http://12.com/", "12.com"),
+])
+def test_numeric_hosts(spark, url, host):
+    assert cascade.with_hostname(spark.createDataFrame([(url,)], "url string")).first().hostname == host

@@ -2,7 +2,9 @@
 
 Follows the URL Standard for schemes, authority, host name and port. Not done
 (documented in the README): IDNA conversion and percent-decoding of hosts,
-path normalisation, and rewriting of unusual IPv4 spellings.
+path normalisation, and rewriting of unusual IPv4 spellings: hosts that end in a
+decimal number are invalid unless they are four decimal octets; hexadecimal ones
+stay names.
 """
 
 from __future__ import annotations
@@ -20,6 +22,9 @@ SCHEME = r"\A([A-Za-z][A-Za-z0-9+.\-]*):"
 OUTER_BLANKS = r"\A[\x00-\x20]+|[\x00-\x20]+\z"
 FORBIDDEN_IN_DOMAIN = r"[\x00-\x20#/:<>?@\[\\\]^|%\x7f]"
 FORBIDDEN_IN_OPAQUE_HOST = r"[\x00\t\n\r #/:<>?@\[\\\]^|]"
+LAST_LABEL_NUMERIC = r"(?:\A|\.)[0-9]+\.?\z"
+OCTET = "0*(?:25[0-5]|2[0-4][0-9]|1?[0-9]{1,2})"
+IPV4 = rf"\A(?:{OCTET}\.){{3}}{OCTET}\.?\z"
 ASTRAL = r"[\x{10000}-\x{10FFFF}]+"
 
 
@@ -91,9 +96,11 @@ def with_browser_parts(
         .when(special, (c("host") != "") & ~c("host").rlike(FORBIDDEN_IN_DOMAIN))
         .otherwise(~c("host").rlike(FORBIDDEN_IN_OPAQUE_HOST))
     )
+    # A host whose last label is a number is an IPv4 address or nothing.
+    numeric = special & ~bracketed & c("host").rlike(LAST_LABEL_NUMERIC) & ~c("host").rlike(IPV4)
     df = df.withColumn(
         tmp("ok"),
-        (c("scheme") != "") & c("portnum").between(-1, 65535) & host_ok,
+        (c("scheme") != "") & c("portnum").between(-1, 65535) & host_ok & ~numeric,
     )
 
     def when_ok(value: Column) -> Column:

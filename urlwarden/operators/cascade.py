@@ -9,10 +9,12 @@ from pyspark.sql import functions as F
 
 from urlwarden.functions.features import url_features
 from urlwarden.functions.hosts import with_hostname
+from urlwarden.functions.text import sealed
 from urlwarden.functions.vocab import FEATURE_NAMES
 from urlwarden.operators.listmatch import DomainLists, with_list_flags
 
 VERDICT_COLUMNS = ("result", "reason", "score", "error")
+NO_ANSWER = "the model gave no prediction"
 
 # A scorer takes a frame with the feature columns and adds `prediction INT` and
 # `probability_phishing DOUBLE`.
@@ -33,11 +35,15 @@ def verdict_cascade(
     scorer: Scorer | None = None,
     url_col: str = "url",
     profile: str = "browser",
+    host_col: str | None = None,
 ) -> DataFrame:
     """Add ``result, reason, score, error``; all null for an invalid address.
 
     One pass over the rows. Addresses settled by a list reach the feature
-    stage as null, which makes every feature of theirs a null at once.
+    stage as null, which makes every feature of theirs a null at once. The
+    verdict is sealed: a filter on it does not move below, where it would call
+    the model again. ``error`` tells why no verdict was possible. ``host_col``
+    keeps the host name under that name.
     """
     given = df.columns
     flagged = with_list_flags(with_hostname(df, url_col, "__host"), lists, "__host")
@@ -47,7 +53,7 @@ def verdict_cascade(
         .when(F.col("in_safe"), "global_safe")
         .when(F.col("in_blacklist"), "blacklist")
     )
-    flagged = flagged.select(*given, valid.alias("__valid"), F.when(valid, listed).alias("__listed"))
+    flagged = flagged.select(*given, "__host", valid.alias("__valid"), F.when(valid, listed).alias("__listed"))
     if scorer is None:
         scored = flagged.withColumns({
             "prediction": F.lit(None).cast("int"), "__p": F.lit(None).cast("double"),
@@ -64,27 +70,28 @@ def verdict_cascade(
         unscored_reason = "feature_extraction_failed"
     listed, p = F.col("__listed"), F.col("__p")
     failed = F.lit(True) if scorer is None else ~F.col("__features")
+    # The model was asked and gave neither a class nor a probability.
+    unanswered = F.lit(False) if scorer is None else F.col("prediction").isNull() & F.col("probability_phishing").isNull()
     result = (
         F.when(~F.col("__valid"), None)
         .when(listed.isin("whitelist", "global_safe"), "safe")
         .when(listed == "blacklist", "phishing")
-        .when(failed, "error")
+        .when(failed | unanswered, "error")
         .otherwise(model_result(F.col("prediction"), p))
     )
     reason = (
         F.when(~F.col("__valid"), None).when(listed.isNotNull(), listed)
-        .when(failed, unscored_reason).otherwise("ml")
+        .when(failed, unscored_reason).when(unanswered, "prediction_failed").otherwise("ml")
     )
     score = (
         F.when(~F.col("__valid"), None)
         .when(listed.isin("whitelist", "global_safe"), 0.0)
         .when(listed == "blacklist", 1.0)
-        .when(~failed, p)
-    )
-    return scored.select(
-        *given, result.alias("result"), reason.alias("reason"), score.cast("double").alias("score"),
-        F.lit(None).cast("string").alias("error"),
+        .when(~failed & ~unanswered, p)
     )
+    error = F.when(reason == "prediction_failed", NO_ANSWER)
+    kept = [F.col(f"`{c}`") for c in given] + ([F.col("__host").alias(host_col)] if host_col else [])
+    return sealed(scored, kept, {"result": result, "reason": reason, "score": score.cast("double"), "error": error})
 
 
 def answer_requests(requests: DataFrame, lists: DomainLists, scorer: Scorer | None = None, url_col: str = "url") -> DataFrame:
@@ -98,6 +105,8 @@ def answer_requests(requests: DataFrame, lists: DomainLists, scorer: Scorer | No
 
 
 def alerts(verdicts: DataFrame, url_col: str = "url") -> DataFrame:
-    """One alert per phishing verdict, with host and message."""
-    hits = with_hostname(verdicts.where(F.col("result") == "phishing"), url_col, "host")
+    """One alert per phishing verdict, with host and message. A ``host`` that the
+    verdicts have is taken; else the address is parsed."""
+    hits = verdicts.where(F.col("result") == "phishing")
+    hits = hits if "host" in hits.columns else with_hostname(hits, url_col, "host")
     return hits.withColumn("message", F.concat(F.col("host"), F.lit(" may be dangerous")))

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.ml.classification import GBTClassificationModel
 from pyspark.sql import DataFrame, Window
@@ -13,10 +14,12 @@ from urlwarden.operators.metrics import roc_auc
 PATIENCE = 100
 
 
-def learning_curve(model: GBTClassificationModel, frame: DataFrame, dataset: str = "test") -> DataFrame:
+def learning_curve(model: GBTClassificationModel, frame: DataFrame, dataset: str = "test", every: int = 1) -> DataFrame:
     """``dataset, iter, AUC, Logloss`` on ``features_vector, label``.
 
-    One pass over the rows yields the margin after every round.
+    One pass over the rows yields the margin after every round; ``every`` keeps
+    rounds 0, ``every``, twice that and so on, and the last. What is shuffled is
+    one row per kept round and distinct margin.
     """
     staged = frame.select("label", "features_vector")
     weights = model.treeWeights
@@ -25,7 +28,9 @@ def learning_curve(model: GBTClassificationModel, frame: DataFrame, dataset: str
         staged = tree.setFeaturesCol("features_vector").setPredictionCol(f"__t{i}").transform(staged)
         term = F.col(f"__t{i}") * F.lit(weight)
         margins.append(term if not margins else margins[-1] + term)
-    rounds = staged.select("label", F.posexplode(F.array(*margins)).alias("iter", "margin"))
+    last = len(margins) - 1
+    kept = [F.struct(F.lit(k).alias("iter"), m.alias("margin")) for k, m in enumerate(margins) if k % every == 0 or k == last]
+    rounds = staged.select("label", F.inline(F.array(*kept)))
     signed = 2 * F.col("label") - 1
     scored = rounds.select(
         "iter", "label",
@@ -37,6 +42,12 @@ def learning_curve(model: GBTClassificationModel, frame: DataFrame, dataset: str
     return aucs.join(losses, "iter").select(F.lit(dataset).alias("dataset"), "iter", "AUC", "Logloss")
 
 
+def learning_curves(model: GBTClassificationModel, frames: dict[str, DataFrame], every: int = 1) -> DataFrame:
+    """The curves of several sets, such as the training and the evaluation rows, in one frame."""
+    curves = [learning_curve(model, frame, name, every) for name, frame in frames.items()]
+    return reduce(DataFrame.unionByName, curves)
+
+
 def best_iteration(curve: DataFrame, patience: int = PATIENCE, by: Sequence[str] = ()) -> DataFrame:
     """``best_iter, best_auc, stop_iter`` per curve.
 

@@ -76,6 +76,15 @@ def percent(share: Column) -> Column:
     return F.concat(F.format_number(share * 100, 1), F.lit("%"))
 
 
+def percent_up(share: Column) -> Column:
+    """As ``percent``, but of two equally near tenths the larger, as browsers
+    write numbers. Only odd quarters are equally near in binary."""
+    value = share * 100
+    quarters = value * 4
+    tie = (quarters == F.floor(quarters)) & (quarters % 2 == 1)
+    return F.when(tie, F.concat(F.format_number((F.floor(value * 10) + 1) / 10, 1), F.lit("%"))).otherwise(percent(share))
+
+
 def explanation(prediction: Column, p_phish: Column, why: Column, language: str = "ru") -> Column:
     texts = TEXTS[language]
     opening, middle, closing = texts["phishing"]
@@ -105,14 +114,14 @@ def prediction_record(scored: DataFrame, language: str = "ru", url_col: str = "u
 
 
 def display_text(result: Column, reason: Column, score: Column, error: Column) -> Column:
-    """The line shown to a user for a verdict."""
+    """The line shown to a user for a verdict; the texts are fixed values."""
     return (
         F.when((result == "phishing") & (reason == "blacklist"), "Found in known blacklist")
-        .when((result == "phishing") & (reason == "ml"), F.concat(F.lit("ML Confidence: "), percent(score)))
+        .when((result == "phishing") & (reason == "ml"), F.concat(F.lit("ML Confidence: "), percent_up(score)))
         .when(result == "phishing", "Suspicious activity detected")
         .when((result == "safe") & (reason == "whitelist"), "In your whitelist")
         .when((result == "safe") & (reason == "global_safe"), "Verified safe domain")
-        .when((result == "safe") & (reason == "ml"), F.concat(F.lit("Safety Score: "), percent(1 - score)))
+        .when((result == "safe") & (reason == "ml"), F.concat(F.lit("Safety Score: "), percent_up(1 - score)))
         .when(result == "safe", "No threats detected")
         .otherwise(F.coalesce(F.nullif(error, F.lit("")), F.lit("Analysis in progress...")))
     )

@@ -1,7 +1,8 @@
 """Merging labelled address sources: projection, labels, union, de-duplication.
 
-Rows travel as ``url, label, source, seq`` where ``seq`` is one BIGINT that
-orders rows by source, then by position in the source.
+Rows travel as ``url, label, source, seq`` where ``seq`` is one DECIMAL(38,0) that
+orders rows by source, then by position in the source, whatever 64-bit number
+that is.
 """
 
 from __future__ import annotations
@@ -19,8 +20,8 @@ from urlwarden.functions.vocab import (
 
 log = logging.getLogger(__name__)
 
-SOURCE_SHIFT = 60  # bits of `seq` left for the position inside a source
-MAX_SOURCES = 8
+ORDER = "decimal(38,0)"  # fixed-length, so that aggregates over it stay hash aggregates
+SOURCE_STEP = 1 << 64  # more than any two 64-bit positions are apart
 
 
 def pick_column(columns: Iterable[str], aliases: Sequence[str], ignore_case: bool = False) -> str | None:
@@ -90,13 +91,11 @@ def union_sources(sources: dict[str, DataFrame]) -> DataFrame:
     """Concatenate projected sources in the given order, adding ``source, seq``."""
     if not sources:
         raise ValueError("no source could be read")
-    if len(sources) > MAX_SOURCES:
-        raise ValueError(f"at most {MAX_SOURCES} sources")
     merged = None
     for rank, (name, df) in enumerate(sources.items()):
         part = df.select(
             "url", "label", F.lit(name).alias("source"),
-            (F.lit(rank << SOURCE_SHIFT).cast("bigint") + F.col("row_ord")).alias("seq"),
+            (F.lit(str(rank * SOURCE_STEP)).cast(ORDER) + F.col("row_ord").cast(ORDER)).cast(ORDER).alias("seq"),
         )
         merged = part if merged is None else merged.unionByName(part)
     return merged
@@ -107,7 +106,7 @@ def dedup_first(df: DataFrame, key: str = "url", order: str = "seq") -> DataFram
 
     An aggregate rather than a ranking window: each task reduces a repeated key
     to one row before the shuffle, so a key that holds a third of all rows costs
-    no more than any other. Numeric columns keep it a hash aggregate.
+    no more than any other. Numeric and decimal columns keep it a hash aggregate.
     """
     others = [c for c in df.columns if c not in (key, order)]
     firsts = (F.min_by(c, order).alias(c) for c in others)

@@ -5,7 +5,9 @@ be small it is broadcast once and probed a fixed number of times per row: by
 host, by www-less host, and by the last k labels for every label count k that
 occurs in the safe list. That covers all parent domains without exploding
 rows and without moving them. A bigger table takes the shuffled way: distinct
-hosts, salted joins, and the few hits joined back.
+hosts, joined with it, and the few hits joined back. The right side of either
+join is stored, so both sides are shuffled by the join itself and Spark can split
+a hot host's rows among tasks.
 """
 
 from __future__ import annotations
@@ -17,13 +19,13 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from urlwarden.functions.hosts import last_labels, parent_domains, strip_www
+from urlwarden.session import checkpoint_dir
 
 IN_WHITELIST, IN_SAFE, IN_BLACKLIST = 1, 2, 4
 MAX_BROADCAST_ROWS = 1_000_000
 MAX_BROADCAST_BYTES = 256 << 20
 MAX_SUFFIX_PROBES = 8
 LABEL_COUNT_CEILING = 200
-SALTS = 16
 
 
 @dataclass(frozen=True)
@@ -45,8 +47,10 @@ def prepare_lists(
     whitelist: DataFrame, safe: DataFrame, blacklist: DataFrame,
     max_rows: int = MAX_BROADCAST_ROWS, max_bytes: int = MAX_BROADCAST_BYTES,
 ) -> DomainLists:
-    """Combine the lists and measure them with one aggregate."""
-    table = domain_table(whitelist, safe, blacklist)
+    """Combine the lists, store the table, and measure what is stored with one
+    aggregate: the table that was measured is the one that is used."""
+    checkpoint_dir(whitelist.sparkSession)
+    table = domain_table(whitelist, safe, blacklist).checkpoint()
     labels = F.least(F.size(F.split("domain", r"\.")), F.lit(LABEL_COUNT_CEILING))
     in_safe = F.col("mask").bitwiseAND(IN_SAFE) > 0
     stats = table.agg(
@@ -60,14 +64,6 @@ def prepare_lists(
     return DomainLists(table, small, lengths)
 
 
-def salted_join(left: DataFrame, right: DataFrame, key: str, salt_by: list[str], how: str, salts: int = SALTS) -> DataFrame:
-    """Equi-join on ``key`` with the right side (unique keys) repeated per salt,
-    so that rows of one hot left key spread over ``salts`` tasks."""
-    salted = left.withColumn("__salt", F.pmod(F.xxhash64(*salt_by), F.lit(salts)).cast("int"))
-    repeated = right.withColumn("__salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
-    return salted.join(repeated, [key, "__salt"], how).drop("__salt")
-
-
 def _bit(mask: Column, bit: int) -> Column:
     return F.coalesce(mask.bitwiseAND(bit), F.lit(0)) > 0
 
@@ -95,7 +91,7 @@ def _shuffled_masks(df: DataFrame, lists: DomainLists, host: str) -> tuple[DataF
         )).alias("c"),
     ).select("__host", "c.domain", "c.exact")
     hits = (
-        salted_join(candidates, lists.table, "domain", ["__host"], "inner")
+        candidates.join(lists.table, "domain")
         .groupBy("__host")
         .agg(
             F.bit_or(F.when(F.col("exact"), F.col("mask")).otherwise(0)).alias("__exact"),
@@ -103,7 +99,9 @@ def _shuffled_masks(df: DataFrame, lists: DomainLists, host: str) -> tuple[DataF
         )
         .withColumnRenamed("__host", host)
     )
-    joined = salted_join(df, hits, host, df.columns, "left").select(*df.columns, "__exact", "__any")
+    if not df.isStreaming:
+        hits = hits.checkpoint()
+    joined = df.join(hits, host, "left").select(*df.columns, "__exact", "__any")
     return joined, F.col("__exact"), F.col("__any")
 
 

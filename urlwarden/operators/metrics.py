@@ -7,6 +7,11 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+# Scores nearer to zero than one of 1e9 parts count as near to one another; cells
+# are 2^-36, 2^-24, 2^-12 and 1 wide, and at most about 1,500 of the last exist.
+LOG_UNITS = 1e9
+CELL_BITS = (36, 24, 12, 0)
+
 
 def _or_zero(part: Column, whole: Column) -> Column:
     return F.coalesce(F.try_divide(part, whole), F.lit(0.0))
@@ -75,9 +80,9 @@ def roc_auc(df: DataFrame, label: str = "label", score: str = "score", by: Seque
     """Exact area under the ROC curve, ties counted half, per ``by`` group.
 
     Rows are first reduced to one per distinct score. The running count of
-    negatives is then taken level by level over cells of width 2^-36, 2^-24
-    and 2^-12 of the score, so no window holds more than one cell. Scores
-    outside [0, 1] fall into an end cell, which keeps them exact.
+    negatives is then taken level by level over cells of the score's signed
+    logarithm, which grows with the score and is fine near zero and bounded for
+    any double. So no window holds more than one cell, whatever the scale.
     """
     by = list(by)
     y = F.col(label)
@@ -87,11 +92,11 @@ def roc_auc(df: DataFrame, label: str = "label", score: str = "score", by: Seque
         .agg(F.count_if(y == 1).cast("decimal(18,0)").alias("pos"), F.count_if(y == 0).cast("decimal(18,0)").alias("neg"))
         .withColumn("twice", (F.col("pos") * F.col("neg")).cast("decimal(38,0)"))
     )
-    unit = F.least(F.greatest(F.col("__s"), F.lit(0.0)), F.lit(1.0))
-    cells = [f"__cell{bits}" for bits in (36, 24, 12)]
+    scale = F.signum("__s") * F.log1p(F.abs("__s") * LOG_UNITS)
+    cells = [f"__cell{bits}" for bits in CELL_BITS]
     level = level.select(
         *by, "__s", "pos", "neg", "twice",
-        *(F.floor(unit * F.lit(float(1 << bits))).alias(f"__cell{bits}") for bits in (36, 24, 12)),
+        *(F.floor(scale * F.lit(2.0 ** bits)).alias(f"__cell{bits}") for bits in CELL_BITS),
     )
     order = "__s"
     for depth in range(len(cells) + 1):

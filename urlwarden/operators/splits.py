@@ -1,32 +1,22 @@
 """Stratified hold-out and k-fold by exact rank of a keyed hash.
 
 Rows of a class are ordered by ``md5(key|seed)``; every part is a contiguous
-run of ranks. Finding where a part ends is a selection problem: count rows per
-hash prefix, keep only the prefix holding the wanted rank, look deeper there.
-Each step is a small map-side-combined count, so no row is moved or sorted, and
-the result is a handful of boundary values. Assigning a row to its part then is
-a plain comparison, stable across retries and in streams.
-
-The input is read once per step (two or three times in all), so hand over
-stored or checkpointed data rather than a long computation.
-
-Rows with equal keys always land in the same part.
+run of ranks. A rank is the number of rows in earlier hash prefixes of the class,
+from one small map-side-combined count, and the place among the rows of the same
+prefix. So a class is ranked by thousands of tasks, however big it is, and any
+number of classes is handled alike; sizes and cuts stay tables.
+
+The input is read twice, so hand over stored or checkpointed data rather than a
+long computation. Rows with equal keys always land in the same part; rows
+without a class land in none.
 """
 
 from __future__ import annotations
 
-import math
-from collections.abc import Callable
-from dataclasses import dataclass
-from functools import reduce
-
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-PREFIX_STEP = 3        # hex digits added per round: up to 4,096 prefixes per class and round
-LEAF_ROWS = 100_000    # a prefix with no more rows than this is ranked directly
-HASH_DIGITS = 32
-MAX_CLASSES = 1000
+PREFIX_DIGITS = 3  # hex digits: a class is ranked in 4,096 pieces
 
 
 def hash_order(key: str, seed: int | str) -> Column:
@@ -34,156 +24,62 @@ def hash_order(key: str, seed: int | str) -> Column:
     return F.concat(F.md5(F.concat(F.col(key), F.lit(f"|{seed}"))), F.col(key))
 
 
-@dataclass(frozen=True)
-class RankCuts:
-    """Per class, the greatest sort key of each part but the last (None: empty)."""
-
-    label: str
-    key: str
-    seed: int | str
-    cuts: dict[object, tuple[str | None, ...]]
-
-    def part(self) -> Column:
-        """Number of the part a row belongs to, from 0; null for other classes."""
-        order = hash_order(self.key, self.seed)
-        result = F.lit(None).cast("int")
-        for value, bounds in self.cuts.items():
-            above = [(order > F.lit(b)).cast("int") if b is not None else F.lit(1) for b in bounds]
-            result = F.when(F.col(self.label) == F.lit(value), reduce(lambda a, b: a + b, above, F.lit(0))).otherwise(result)
-        return result
-
-
-def class_sizes(df: DataFrame, label: str) -> dict[object, int]:
-    rows = df.where(F.col(label).isNotNull()).groupBy(label).count().limit(MAX_CLASSES + 1).collect()
-    if len(rows) > MAX_CLASSES:
-        raise ValueError(f"{label!r} has more than {MAX_CLASSES} values; it is not a class label")
-    return dict(sorted((r[label], r["count"]) for r in rows))
-
-
-def find_cuts(
-    df: DataFrame, label: str, key: str, seed: int | str, ranks: dict[object, list[int]],
-) -> RankCuts:
-    """Locate the sort keys at the given 1-based ranks (0: no row)."""
-    base = df.select(F.col(label).alias("__y"), hash_order(key, seed).alias("__o"))
-    found: dict[tuple[object, int], str | None] = {}
-    # (class, cut) -> (prefix known so far, rank inside that prefix)
-    open_cuts = {}
-    for value, wanted in ranks.items():
-        for i, rank in enumerate(wanted):
-            if rank > 0:
-                open_cuts[value, i] = ("", rank)
-            else:
-                found[value, i] = None
-    digits = 0
-    while open_cuts:
-        prefixes = sorted({(v, p) for (v, _), (p, _) in open_cuts.items()}, key=str)
-        wanted = base.where(reduce(
-            lambda a, b: a | b,
-            ((F.col("__y") == F.lit(v)) & F.startswith(F.col("__o"), F.lit(p)) for v, p in prefixes),
-        ))
-        parent = F.substring("__o", 1, digits)
-        step = min(PREFIX_STEP, HASH_DIGITS - digits)
-        leaf = step == 0
-        bucket = F.col("__o") if leaf else F.substring("__o", 1, digits + step)
-        running = Window.partitionBy("__y", "__p").orderBy("__b")
-        counted = (
-            wanted.groupBy("__y", parent.alias("__p"), bucket.alias("__b")).agg(F.count("*").alias("n"))
-            .withColumn("upto", F.sum("n").over(running))
-        )
-        targets = reduce(
-            lambda a, b: a | b,
-            (
-                (F.col("__y") == F.lit(v)) & (F.col("__p") == p) & (F.col("upto") - F.col("n") < rank) & (F.col("upto") >= rank)
-                for (v, _), (p, rank) in open_cuts.items()
-            ),
-        )
-        hits = counted.where(targets).collect()  # at most one row per open cut
-        deeper = {}
-        for cut, (p, rank) in open_cuts.items():
-            row = next(r for r in hits if r["__y"] == cut[0] and r["__p"] == p and r["upto"] - r["n"] < rank <= r["upto"])
-            if leaf:
-                found[cut] = row["__b"]
-            else:
-                deeper[cut] = (row["__b"], rank - (row["upto"] - row["n"]), row["n"])
-        digits += step
-        small = {cut: d for cut, d in deeper.items() if d[2] <= LEAF_ROWS}
-        found.update(_rank_leaves(base, small))
-        open_cuts = {cut: (p, rank) for cut, (p, rank, n) in deeper.items() if cut not in small}
-    cuts = {v: tuple(found[v, i] for i in range(len(wanted))) for v, wanted in ranks.items()}
-    return RankCuts(label, key, seed, cuts)
-
-
-def _rank_leaves(base: DataFrame, leaves: dict) -> dict:
-    """Exact selection inside prefixes known to hold few rows."""
-    if not leaves:
-        return {}
-    width = {len(p) for p, _, _ in leaves.values()}.pop()
-    prefix = F.substring("__o", 1, width)
-    chosen = reduce(
-        lambda a, b: a | b,
-        ((F.col("__y") == F.lit(v)) & (prefix == p) for (v, _), (p, _, _) in leaves.items()),
-    )
-    running = Window.partitionBy("__y", "__p").orderBy("__o")
-    ranked = (
-        base.where(chosen).groupBy("__y", "__o").agg(F.count("*").alias("n"))
-        .withColumn("__p", prefix)
-        .withColumn("upto", F.sum("n").over(running))
-    )
-    targets = reduce(
-        lambda a, b: a | b,
-        (
-            (F.col("__y") == F.lit(v)) & (F.col("__p") == p) & (F.col("upto") - F.col("n") < rank) & (F.col("upto") >= rank)
-            for (v, _), (p, rank, _) in leaves.items()
-        ),
-    )
-    hits = ranked.where(targets).collect()  # one row per cut
-    return {
-        cut: next(r["__o"] for r in hits if r["__y"] == cut[0] and r["__p"] == p and r["upto"] - r["n"] < rank <= r["upto"])
-        for cut, (p, rank, _) in leaves.items()
-    }
-
-
-def holdout_sizes(sizes: dict[object, int], test_fraction: float) -> dict[object, int]:
-    """Test rows per class: the test part rounds up, the train part is shared
-    out by largest remainder (ties to the lower class)."""
-    total = sum(sizes.values())
-    train = total - math.ceil(test_fraction * total)
-    share = {c: divmod(n * train, total) for c, n in sizes.items()}
-    extra = train - sum(q for q, _ in share.values())
-    favoured = set(sorted(share, key=lambda c: (-share[c][1], c))[:extra])
-    return {c: n - share[c][0] - (c in favoured) for c, n in sizes.items()}
-
-
-def fold_ranks(size: int, folds: int) -> list[int]:
-    """Last rank of every fold but the last; sizes differ by one at most."""
-    base, extra = divmod(size, folds)
-    return [base * (i + 1) + min(i + 1, extra) for i in range(folds - 1)]
-
-
-def _assign(df: DataFrame, label: str, key: str, seed: int | str, ranks_of: Callable[[dict], dict], out: str, names) -> DataFrame:
-    sizes = class_sizes(df, label)
-    part = find_cuts(df, label, key, seed, ranks_of(sizes)).part()
-    return df.withColumn(out, names(part))
+def class_sizes(df: DataFrame, label: str) -> DataFrame:
+    """``__y, n``: rows per class."""
+    return df.where(F.col(label).isNotNull()).groupBy(F.col(label).alias("__y")).agg(F.count("*").alias("n"))
+
+
+def ranked(df: DataFrame, label: str, key: str, seed: int | str) -> tuple[DataFrame, DataFrame]:
+    """``df`` with ``__y, __rank`` (from 1, equal keys share the least; null
+    without a class or key), and ``__y, n``: rows per class."""
+    keyed = df.withColumns({"__y": F.col(label), "__o": hash_order(key, seed)}).withColumn("__p", F.substring("__o", 1, PREFIX_DIGITS))
+    counts = keyed.where("__y IS NOT NULL AND __p IS NOT NULL").groupBy("__y", "__p").agg(F.count("*").alias("__n"))
+    before = Window.partitionBy("__y").orderBy("__p").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = counts.select("__y", "__p", F.coalesce(F.sum("__n").over(before), F.lit(0)).alias("__before"))
+    inside = Window.partitionBy("__y", "__p").orderBy("__o")
+    placed = keyed.join(offsets, ["__y", "__p"], "left").withColumn("__rank", F.col("__before") + F.rank().over(inside))
+    sizes = counts.groupBy("__y").agg(F.sum("__n").alias("n"))
+    return placed, sizes
+
+
+def holdout_sizes(sizes: DataFrame, test_fraction: float) -> DataFrame:
+    """``__y, test``: the test part rounds up in all; the train part is shared
+    out by largest remainder (ties to the lower class). One row per class."""
+    everything = Window.partitionBy()
+    total = F.sum("n").over(everything)
+    shares = sizes.select("__y", "n", total.alias("total")).withColumn("train", F.col("total") - F.ceil(F.lit(test_fraction) * F.col("total")))
+    product = F.col("n").cast("decimal(38,0)") * F.col("train").cast("decimal(19,0)")
+    shares = shares.withColumns({"q": F.floor(product / F.col("total")).cast("bigint"), "rem": (product % F.col("total")).cast("bigint")})
+    extra = F.col("train") - F.sum("q").over(everything)
+    favoured = F.row_number().over(Window.orderBy(F.desc("rem"), "__y")) <= extra
+    return shares.select("__y", (F.col("n") - F.col("q") - favoured.cast("int")).alias("test"))
+
+
+def fold_of(rank: Column, size: Column, folds: int) -> Column:
+    """Fold from 0 of a rank from 1; sizes differ by one at most, larger ones first."""
+    base, extra = F.floor(size / folds), size % folds
+    longer = extra * (base + 1)
+    late = extra + F.floor((rank - 1 - longer) / F.greatest(base, F.lit(1)))
+    return F.when(rank <= longer, F.floor((rank - 1) / (base + 1))).otherwise(late).cast("int")
 
 
 def stratified_holdout(
     df: DataFrame, test_fraction: float = 0.2, seed: int | str = 127, label: str = "label", key: str = "url",
 ) -> DataFrame:
     """Add ``split``: ``test`` for the first ranks of each class, else ``train``."""
-    def ranks_of(sizes):
-        return {c: [n] for c, n in holdout_sizes(sizes, test_fraction).items()}
-
-    return _assign(df, label, key, seed, ranks_of, "split", lambda part: F.when(part == 0, "test").when(part == 1, "train"))
+    placed, sizes = ranked(df, label, key, seed)
+    joined = placed.join(holdout_sizes(sizes, test_fraction), "__y", "left")
+    split = F.when(F.col("__rank") <= F.col("test"), "test").when(F.col("__rank").isNotNull(), "train")
+    return joined.select(*df.columns, split.alias("split"))
 
 
 def stratified_kfold(
     df: DataFrame, folds: int = 5, seed: int | str = 127, label: str = "label", key: str = "url",
 ) -> DataFrame:
     """Add ``fold`` 0..folds-1 with balanced classes."""
-    def ranks_of(sizes):
-        return {c: fold_ranks(n, folds) for c, n in sizes.items()}
-
-    return _assign(df, label, key, seed, ranks_of, "fold", lambda part: part)
+    placed, sizes = ranked(df, label, key, seed)
+    joined = placed.join(sizes, "__y", "left")
+    return joined.select(*df.columns, F.when(F.col("__rank").isNotNull(), fold_of(F.col("__rank"), F.col("n"), folds)).alias("fold"))
 
 
 def split_sizes(df: DataFrame, by: str = "split") -> DataFrame:

@@ -4,15 +4,17 @@ from __future__ import annotations
 
 from dataclasses import dataclass, field
 
+from pyspark import SparkContext
 from pyspark.ml import PipelineModel, Transformer
 from pyspark.ml.classification import GBTClassificationModel, GBTClassifier
-from pyspark.ml.feature import VectorAssembler
+from pyspark.ml.feature import SQLTransformer, VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from urlwarden.functions.vocab import BIGINT_FEATURES, DOUBLE_FEATURES, FEATURE_NAMES
 from urlwarden.operators.cascade import Scorer
+from urlwarden.operators.curves import best_iteration, learning_curve
 from urlwarden.operators.metrics import binary_metrics, roc_auc
 from urlwarden.operators.splits import stratified_holdout, stratified_kfold
 from urlwarden.session import checkpoint_dir
@@ -23,20 +25,24 @@ PUBLISHED_PARAMS = {
     "random_seed": 127, "early_stopping_rounds": 100,
 }
 TEST_FRACTION, FOLDS, SEED = 0.2, 5, 127
+ROUNDED = "f32_"  # before the names of columns rounded to 32 bits
 
 
 @dataclass(frozen=True)
 class GbtParams:
-    """Settings with a counterpart in Spark ML. Trees are fitted one after the
-    other, so the default number of rounds is far below the published one."""
+    """Settings with a counterpart in Spark ML; the published values unless said
+    otherwise. Trees are fitted one after the other, so pass fewer rounds for a
+    quick look. ``early_stopping_rounds`` keeps a model up to its best round on
+    the validation rows, judged as ``best_iteration`` does; 0 keeps all."""
 
-    iterations: int = 20
+    iterations: int = PUBLISHED_PARAMS["iterations"]
     learning_rate: float = PUBLISHED_PARAMS["learning_rate"]
-    depth: int = 5
+    depth: int = PUBLISHED_PARAMS["depth"]
+    early_stopping_rounds: int = PUBLISHED_PARAMS["early_stopping_rounds"]
     max_bins: int = 64
     subsample: float = 1.0
-    min_gain: float = 1e-4
-    seed: int = SEED
+    min_gain: float = 0.0
+    seed: int = PUBLISHED_PARAMS["random_seed"]
 
 
 def as_float32(df: DataFrame) -> DataFrame:
@@ -44,13 +50,19 @@ def as_float32(df: DataFrame) -> DataFrame:
     return df.withColumns({n: F.col(n).cast("float") for n in sorted(DOUBLE_FEATURES | BIGINT_FEATURES)})
 
 
-def feature_assembler() -> VectorAssembler:
-    return VectorAssembler(inputCols=list(FEATURE_NAMES), outputCol="features_vector", handleInvalid="keep")
+def feature_stages() -> list[Transformer]:
+    """Pipeline stages that add ``features_vector`` in contract order, at 32-bit
+    precision. Rounded columns go beside the given ones, which stay as they are."""
+    wide = sorted(DOUBLE_FEATURES | BIGINT_FEATURES)
+    rounded = ", ".join(f"CAST({n} AS FLOAT) AS {ROUNDED}{n}" for n in wide)
+    inputs = [ROUNDED + n if n in wide else n for n in FEATURE_NAMES]
+    assembler = VectorAssembler(inputCols=inputs, outputCol="features_vector", handleInvalid="keep")
+    return [SQLTransformer(statement=f"SELECT *, {rounded} FROM __THIS__"), assembler]
 
 
 def feature_vector(df: DataFrame) -> DataFrame:
     """Add ``features_vector`` in contract order, at 32-bit precision."""
-    return feature_assembler().transform(as_float32(df))
+    return PipelineModel(feature_stages()).transform(df).select(*df.columns, "features_vector")
 
 
 def feature_array(df: DataFrame) -> DataFrame:
@@ -61,7 +73,7 @@ def feature_array(df: DataFrame) -> DataFrame:
 
 def fit_gbt(frame: DataFrame, params: GbtParams = GbtParams(), validation: str | None = None) -> GBTClassificationModel:
     """Fit on ``features_vector, label``; rows with ``validation`` true only
-    decide when to stop."""
+    decide where to stop."""
     checkpoint_dir(frame.sparkSession)
     classifier = GBTClassifier(
         featuresCol="features_vector", labelCol="label", maxIter=params.iterations,
@@ -69,9 +81,31 @@ def fit_gbt(frame: DataFrame, params: GbtParams = GbtParams(), validation: str |
         subsamplingRate=params.subsample, seed=params.seed, validationTol=params.min_gain,
         checkpointInterval=10, cacheNodeIds=True, maxMemoryInMB=512,
     )
-    if validation:
-        classifier = classifier.setValidationIndicatorCol(validation)
-    return classifier.fit(frame)
+    if not validation:
+        return classifier.fit(frame)
+    if params.min_gain > 0:
+        return classifier.setValidationIndicatorCol(validation).fit(frame)
+    model = classifier.fit(frame.where(~F.col(validation)))
+    if not params.early_stopping_rounds:
+        return model
+    curve = learning_curve(model, frame.where(F.col(validation)))
+    row = best_iteration(curve.where(F.col("AUC").isNotNull()), params.early_stopping_rounds).first()
+    return truncated(model, row["best_iter"] + 1) if row else model
+
+
+def truncated(model: GBTClassificationModel, rounds: int) -> GBTClassificationModel:
+    """The model after its first ``rounds`` trees."""
+    java = model._java_obj
+    if rounds >= model.getNumTrees:
+        return model
+    context = SparkContext._active_spark_context
+    trees = context._gateway.new_array(context._jvm.org.apache.spark.ml.regression.DecisionTreeRegressionModel, rounds)
+    weights = context._gateway.new_array(context._jvm.double, rounds)
+    for k in range(rounds):
+        trees[k], weights[k] = java.trees()[k], java.treeWeights()[k]
+    shorter = context._jvm.org.apache.spark.ml.classification.GBTClassificationModel(
+        f"{model.uid}_{rounds}", trees, weights, model.numFeatures, model.numClasses)
+    return GBTClassificationModel(shorter).setFeaturesCol("features_vector")
 
 
 def score(df: DataFrame, model: Transformer) -> DataFrame:
@@ -122,6 +156,11 @@ def kfold_train(frame: DataFrame, params: GbtParams = GbtParams(), folds: int =
     return KFoldResult(aucs, best_fold, best_auc, models[best_fold - 1], models)
 
 
+def top_features(weights: DataFrame, top_n: int = 20) -> DataFrame:
+    """The ``top_n`` rows of ``feature, importance``, ties by name."""
+    return weights.orderBy(F.desc("importance"), "feature").limit(top_n)
+
+
 def select_best_fold(aucs: DataFrame) -> DataFrame:
     """Highest AUC above zero; the first fold wins ties."""
     return aucs.where(F.col("auc") > 0).orderBy(F.desc("auc"), "fold").limit(1)
@@ -130,7 +169,7 @@ def select_best_fold(aucs: DataFrame) -> DataFrame:
 def feature_importance(model: GBTClassificationModel, spark, top_n: int = 20) -> DataFrame:
     """The ``top_n`` features by importance; the model holds 73 numbers."""
     rows = [(name, float(model.featureImportances[i])) for i, name in enumerate(FEATURE_NAMES)]
-    return spark.createDataFrame(rows, "feature string, importance double").orderBy(F.desc("importance"), "feature").limit(top_n)
+    return top_features(spark.createDataFrame(rows, "feature string, importance double"), top_n)
 
 
 @dataclass
@@ -162,5 +201,5 @@ def train(features: DataFrame, params: GbtParams = GbtParams(), folds: int = FOL
     metrics = {k: float(row[k]) for k in ("accuracy", "precision", "recall", "f1_score")}
     metrics["roc_auc"] = roc_auc(holdout, "label", "probability_phishing").first()["auc"]
     sizes = {r["split"]: r["count"] for r in parts.groupBy("split").count().collect()}
-    model = PipelineModel([feature_assembler(), chosen.best_model])
+    model = PipelineModel([*feature_stages(), chosen.best_model])
     return TrainingRun(model, chosen, metrics, sizes.get("train", 0), sizes.get("test", 0), holdout, params)

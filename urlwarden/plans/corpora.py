@@ -48,6 +48,13 @@ ADDRESS_PATTERNS = (
     "concat('http:///', i)",
     "replace(u, 'top', '')",
     "concat('https://m.', substr(m, 1, 6), '.', substr(m, 7, 3), '.example.org?u=1')",
+    "concat('http://https-login', i, '.example.com/')",
+    "concat('http://a_b', i, '.example.com/')",
+    "concat('http://a', i, '.com/\u202ex')",
+    "concat('http://a', i, '.com/', chr(13), chr(13), chr(13), 'y')",
+    "concat('http://a', i, '.com/z\u2028\u2028\u2028y')",
+    "concat('http://999.1.', i, '.1/')",
+    "concat('http://foo.', i, '/a')",
     "''",
 )
 
@@ -119,7 +126,10 @@ secondary_raw AS (SELECT {SECONDARY_URL} AS URL, {SECONDARY_STATUS} AS status, e
 def visits(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Events, each with the address of one page."""
     pages = table(spark, sf_dir, "pages").select("page_id", "url")
-    count = pages.count()
+    ids = pages.agg(F.count("*").alias("n"), F.min("page_id").alias("low"), F.max("page_id").alias("high"), F.count_distinct("page_id").alias("kinds")).first()
+    count = ids["n"]
+    if count and (ids["low"], ids["high"], ids["kinds"]) != (0, count - 1, count):
+        raise ValueError("page ids must count from 0, or events would lose their page")
     events = table(spark, sf_dir, "events").withColumn("page_id", F.col("event_id") % F.lit(count))
     return events.join(pages, "page_id").drop("page_id")
 

@@ -1,17 +1,35 @@
 """The feature definitions again, as SQL for the checking engine.
 
 Written independently of the column expressions: one regular expression splits
-the address, and counts go through lists where Spark uses string functions.
+the address, counts go through lists where Spark uses string functions, and the
+words are written out here once more, so that a wrong one on either side shows.
 """
 
 from __future__ import annotations
 
-from urlwarden.functions.vocab import (
-    BIGINT_FEATURES, BRAND_KEYWORDS, BROWSER_DOUBLED_KEYWORD, COMMON_TLDS, DOUBLE_FEATURES, FEATURE_NAMES,
-    NFKC_UNSAFE, OTHER_DIGITS, SENSITIVE_WORDS, SHORTENERS, SPECIAL_CHARACTERS, SUSPICIOUS_KEYWORDS,
-    SUSPICIOUS_TLDS, TLD_CODES, TRAINING_ONLY_SHORTENER, code_point_class,
-)
-from urlwarden.functions.features import CHARACTER_FEATURES
+from urlwarden.functions.vocab import BIGINT_FEATURES, DOUBLE_FEATURES, FEATURE_NAMES, NFKC_UNSAFE, OTHER_DIGITS, code_point_class
+
+# Fixed values.
+BRAND_KEYWORDS = (
+    "amazon paypal google facebook apple microsoft netflix bank visa mastercard ebay uber dropbox onedrive instagram twitter linkedin"
+).split()
+COMMON_TLDS = "com org net ru us uk de fr it es gov edu info biz co".split()
+SENSITIVE_WORDS = "password card billing wallet crypto bitcoin auth session".split()
+SHORTENERS = "bit.ly tinyurl goo.gl ow.ly short.link lnk.co t.co shortened.link is.gd cli.gs".split()
+TRAINING_ONLY_SHORTENER = "shortened.link"
+SUSPICIOUS_KEYWORDS = (
+    "login verify secure confirm account update alert urgent action payment transaction click reset recover validate "
+    "authenticate access activate password change immediately"
+).split()
+BROWSER_DOUBLED_KEYWORD = "confirm"
+SUSPICIOUS_TLDS = "tk ml ga cf gq icu pw top men download online site space website host".split()
+TLD_CODES = "com ru net org uk de jp fr au us ca info biz xyz top cn in br io online".split()
+SPECIAL_CHARACTERS = '!@#$%^&*()_+-=[]{}|;:",.<>?/~`'
+CHARACTER_FEATURES = {
+    "qty_dot_url": ".", "qty_hyphen_url": "-", "qty_slash_url": "/", "qty_question_url": "?", "qty_percent_url": "%",
+    "qty_at_url": "@", "qty_ampersand_url": "&", "qty_equal_url": "=", "qty_underscore_url": "_", "qty_colon_url": ":",
+    "qty_semicolon_url": ";", "qty_comma_url": ",",
+}
 
 SPLIT = r"(?s)^([^/?#]*)([^?#]*)(?:\?([^#]*))?(?:#(.*))?$"
 BROWSER_SPLIT = r"(?s)^([^?#]*)(?:\?([^#]*))?(?:#(.*))?$"
@@ -49,12 +67,12 @@ def entropy(text: str) -> str:
     )
 
 
-def _shared(query: str) -> dict[str, str]:
+def _shared(query: str, breaks: str = "chr(10)") -> dict[str, str]:
     """Formulas over u l marks-free texts: u, l, dom, lowdom, h, t, path, q."""
     inner = "list_slice(string_split(h, '.'), 1, len(string_split(h, '.')) - 1)"
     triple = (
         "coalesce(list_bool_or(list_transform(range(1, length(u) - 1), "
-        "lambda k: u[k] = u[k + 1] and u[k] = u[k + 2] and u[k] <> chr(10))), false)"
+        f"lambda k: u[k] = u[k + 1] and u[k] = u[k + 2] and u[k] NOT IN ({breaks}))), false)"
     )
     coded = "regexp_matches(u, '[A-Za-z0-9+/]{25,}={0,2}')"
     special = "list_sum(list_transform(range(1, length(u) + 1), lambda k: CAST(contains('%s', u[k]) AS INT)))" % (
@@ -146,7 +164,7 @@ def browser_formulas() -> dict[str, str]:
     # the one character of the corpus outside the basic plane, as two units
     in_units = "replace(u, '😀', chr(57344) || chr(57345))"
     return {
-        **_shared("q"),
+        **_shared("q", "chr(10), chr(13), chr(8232), chr(8233)"),
         **_class_features("[0-9]", "[a-zA-Z]", "[A-Z]"),
         "url_length": "chars",
         "query_length": "length(q) + length(regexp_replace(q, '[^😀]', '', 'g'))",
@@ -156,7 +174,7 @@ def browser_formulas() -> dict[str, str]:
         "has_http_in_domain": yes("contains(dom, 'http')"),
         "has_url_shortener": yes(f"{present('dom', shorteners)} > 0"),
         "has_internal_ip": yes(f"regexp_matches(h, '{private}')"),
-        "qty_suspicious_keywords": present("l", SUSPICIOUS_KEYWORDS + (BROWSER_DOUBLED_KEYWORD,)),
+        "qty_suspicious_keywords": present("l", [*SUSPICIOUS_KEYWORDS, BROWSER_DOUBLED_KEYWORD]),
         "has_javascript_protocol": yes("scheme = 'javascript'"),
         "has_data_protocol": yes("scheme = 'data'"),
         "has_punycode": yes("contains(u, 'xn--')"),
@@ -212,7 +230,11 @@ b10 AS (SELECT *, scheme0 <> '' AND regexp_matches(portpart, '^(:[0-9]*)?$')
        AND coalesce(TRY_CAST(nullif(substr(portpart, 2), '') AS BIGINT), 0) <= 65535
        AND CASE WHEN starts_with(host0, '[') THEN regexp_matches(host0, '^\[[0-9A-Fa-f]{{0,4}}::[0-9A-Fa-f]{{0,4}}\]$')
            WHEN special THEN host0 <> '' AND NOT regexp_matches(host0, '[\x01-\x20#/:<>?@\[\\\]^|%\x7f]')
-           ELSE NOT regexp_matches(host0, '[\t\n\r #/:<>?@\[\\\]^|]') END AS ok FROM b9),
+           ELSE NOT regexp_matches(host0, '[\t\n\r #/:<>?@\[\\\]^|]') END
+       AND NOT (special AND regexp_matches(host0, '(^|[.])[0-9]+[.]?$') AND NOT (
+           len(string_split(regexp_replace(host0, '[.]$', ''), '.')) = 4 AND list_bool_and(list_transform(
+           string_split(regexp_replace(host0, '[.]$', ''), '.'), lambda o: coalesce(regexp_matches(o, '^[0-9]+$') AND TRY_CAST(o AS BIGINT) <= 255, false)))))
+       AS ok FROM b9),
 parts AS (SELECT * EXCLUDE (c, scheme0, special, rest, body0, q0, f0, body, hier, authority, hostport, host0, portpart, ok),
        CASE WHEN ok THEN url END AS u, CASE WHEN ok THEN scheme0 END AS scheme,
        CASE WHEN ok THEN CASE WHEN special THEN lower(host0) ELSE host0 END END AS dom,

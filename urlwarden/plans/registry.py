@@ -5,7 +5,9 @@ from __future__ import annotations
 import uuid
 from collections.abc import Callable
 from dataclasses import dataclass
+from functools import reduce
 
+from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -16,8 +18,8 @@ from urlwarden.functions.vocab import DOUBLE_FEATURES, FEATURE_NAMES, PHISHING_L
 from urlwarden.operators import cascade, curves, explain, ingest, listmatch, metrics, splits, training
 from urlwarden.plans import corpora
 from urlwarden.plans.oracle import browser_parts_sql, features_sql, words
-from urlwarden.session import checkpoint_dir
-from urlwarden.sources import readers
+from urlwarden.session import checkpoint_dir, delete, tune
+from urlwarden.sources import readers, writers
 from urlwarden.streaming import navigation
 
 Plan = Callable[[SparkSession, str], DataFrame]
@@ -34,7 +36,7 @@ QUERIES: dict[str, Query] = {}
 
 def register(name: str, sql: str | None = None):
     def add(plan: Plan) -> Plan:
-        QUERIES[name] = Query(plan, sql)
+        QUERIES[name] = Query(lambda spark, sf_dir: plan(tune(spark), sf_dir), sql)
         return plan
     return add
 
@@ -186,6 +188,60 @@ def class_dist(spark, sf_dir):
     return rounded(ingest.class_distribution(merged(spark, sf_dir)))
 
 
+_MANY_SQL = """SELECT concat('u', cast(user_id % 400 AS string)) AS url, cast(event_id % 3 AS int) AS label, event_id % 12 AS rank,
+CASE WHEN event_id % 2 = 1 THEN -event_id ELSE 1760000000000000000 - event_id END AS n FROM events"""
+
+
+@register("ingest_many_sources", f"""SELECT url, label FROM (SELECT *, row_number() OVER (PARTITION BY url ORDER BY rank, n) AS k
+FROM ({_MANY_SQL.replace('AS string', 'AS varchar')})) WHERE k = 1""")
+def ingest_many_sources(spark, sf_dir):
+    """Twelve sources with nanosecond and negative positions."""
+    corpora.table(spark, sf_dir, "events").createOrReplaceTempView("events")
+    rows = spark.sql(_MANY_SQL)
+    parts = {f"s{k:02d}": ingest.project(rows.where(F.col("rank") == k), "url", "label", "n") for k in range(12)}
+    return ingest.dedup_first(ingest.union_sources(parts).select("url", "label", "seq")).select("url", "label")
+
+
+@register("features_of_changed_labels", """WITH base AS (SELECT page_id, url FROM pages)
+SELECT 'first' AS stage, CAST(page_id % 2 AS INTEGER) AS label, count(*) AS n FROM base GROUP BY ALL
+UNION ALL SELECT 'changed', CAST((page_id + 1) % 3 AS INTEGER), count(*) FROM base GROUP BY ALL
+UNION ALL SELECT 'again', CAST(page_id % 2 AS INTEGER), count(*) FROM base GROUP BY ALL""")
+def features_of_changed_labels(spark, sf_dir):
+    """The feature table of a corpus, of the same addresses with other labels, and of the first again."""
+    folder, pages, found = _scratch(spark, "features"), corpora.table(spark, sf_dir, "pages"), None
+    for stage, label in (("first", "page_id % 2"), ("changed", "(page_id + 1) % 3"), ("again", "page_id % 2")):
+        table = writers.materialise_features(pages.selectExpr("url", f"cast({label} AS int) AS label"), folder)
+        counts = table.groupBy(F.lit(stage).alias("stage"), "label").agg(F.count("*").alias("n"))
+        found = counts if found is None else found.unionByName(counts)
+    return found
+
+
+_LINES = "CASE WHEN page_id % 4 = 0 THEN '' WHEN page_id % 4 = 1 THEN concat('  ', url, chr(9)) ELSE url END"
+
+
+@register("file_lists", f"""WITH {corpora.LISTS_SQL}, lines AS (SELECT trim({_LINES}, ' ' || chr(9)) AS line FROM pages)
+SELECT 'address' AS kind, line AS value, count(*) AS n FROM lines WHERE line <> '' GROUP BY ALL
+UNION ALL SELECT 'safe', domain, count(*) FROM (SELECT DISTINCT domain FROM safe) GROUP BY ALL
+UNION ALL SELECT 'blocked', domain, count(*) FROM (SELECT DISTINCT domain FROM blacklist) GROUP BY ALL
+UNION ALL SELECT 'labelled', url, count(*) FROM pages WHERE page_id % 3 > 0 GROUP BY ALL""")
+def file_lists(spark, sf_dir):
+    """Lists written to files and read back."""
+    folder, pages = _scratch(spark, "lists"), corpora.table(spark, sf_dir, "pages")
+    _, safe, blocked = corpora.domain_lists(spark, sf_dir)
+    pages.select(F.expr(_LINES)).write.text(f"{folder}/addresses")
+    safe.agg(F.to_json(F.collect_list("domain"))).write.text(f"{folder}/safe")
+    blocked.select(F.concat(F.lit("https://"), "domain", F.lit("/"))).write.text(f"{folder}/blocked")
+    pages.selectExpr("CASE WHEN page_id % 3 > 0 THEN url ELSE 'NA' END AS url", "page_id % 2 AS label").write.json(f"{folder}/labelled")
+    parts = {
+        "address": readers.read_url_list(spark, f"{folder}/addresses").withColumnRenamed("url", "value"),
+        "safe": readers.read_safe_domains(spark, f"{folder}/safe").withColumnRenamed("domain", "value"),
+        "blocked": readers.read_blacklist(spark, f"{folder}/blocked").withColumnRenamed("domain", "value"),
+        "labelled": readers.read_labelled(spark, f"{folder}/labelled", "json", multiline=False).where("url IS NOT NULL").select(F.col("url").alias("value")),
+    }
+    counted = (df.groupBy(F.lit(kind).alias("kind"), "value").agg(F.count("*").alias("n")) for kind, df in parts.items())
+    return reduce(DataFrame.unionByName, counted)
+
+
 _FILE_NAMES = (
     "concat(CASE WHEN page_id % 7 = 3 THEN 'FULL_' ELSE '' END, substr(md5(url), 1, 8), "
     "CASE WHEN page_id % 5 = 0 THEN '.csv' WHEN page_id % 5 = 1 THEN '.parquet' WHEN page_id % 5 = 2 THEN '.json' "
@@ -261,6 +317,27 @@ def split_kfold(spark, sf_dir):
     return splits.stratified_kfold(train, seed="127|fold")
 
 
+_CLASSES_SQL = f"""WITH {corpora.ITEMS_SQL}, base AS (SELECT DISTINCT url, CAST(CAST(regexp_extract(url, 'id=([0-9]+)&', 1) AS INTEGER) % 500 AS INTEGER) AS label FROM addresses)"""
+
+
+def classed_items(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Five hundred classes."""
+    checkpoint_dir(spark)
+    label = F.regexp_extract("url", "id=([0-9]+)&", 1).cast("int") % 500
+    return corpora.item_addresses(spark, sf_dir).select("url", label.alias("label")).distinct().checkpoint()
+
+
+@register("split_many_classes", f"{_CLASSES_SQL}, {_HOLDOUT_SQL} SELECT url, label, split FROM parts")
+def split_many_classes(spark, sf_dir):
+    return splits.stratified_holdout(classed_items(spark, sf_dir))
+
+
+@register("kfold_many_classes", f"""{_CLASSES_SQL}
+SELECT url, label, CAST(ntile(5) OVER (PARTITION BY label ORDER BY md5(url || '|127'), url) - 1 AS INTEGER) AS fold FROM base""")
+def kfold_many_classes(spark, sf_dir):
+    return splits.stratified_kfold(classed_items(spark, sf_dir))
+
+
 # ------------------------------------------------------------------ metrics
 
 _SCORED_NAMES = tuple(dict.fromkeys((
@@ -328,6 +405,40 @@ def roc_auc_by(spark, sf_dir):
     return rounded(metrics.roc_auc(items, by=["iter"]))
 
 
+_WIDE_SCORES = """SELECT l_linenumber AS iter, CAST(l_returnflag = 'R' AS INTEGER) AS label,
+(l_extendedprice - 40000) * (CASE WHEN l_linenumber = 2 THEN 1e-30 WHEN l_linenumber = 3 THEN 1e30 ELSE 1 END)::DOUBLE AS score FROM lineitem"""
+
+
+@register("roc_auc_unbounded", f"WITH s AS ({_WIDE_SCORES}) {_AUC_SQL.format(by='iter,', part='PARTITION BY iter', source='s')} GROUP BY iter")
+def roc_auc_unbounded(spark, sf_dir):
+    """Scores that are no probabilities, at three scales."""
+    items = corpora.table(spark, sf_dir, "lineitem").selectExpr(
+        "l_linenumber AS iter", "int(l_returnflag = 'R') AS label",
+        "(l_extendedprice - 40000) * double(CASE WHEN l_linenumber = 2 THEN 1e-30 WHEN l_linenumber = 3 THEN 1e30 ELSE 1 END) AS score")
+    return rounded(metrics.roc_auc(items, by=["iter"]))
+
+
+@register("fold_aucs_best", f"""WITH s AS (SELECT l_orderkey * 8 + l_linenumber AS id, CAST(l_returnflag = 'R' AS INTEGER) AS label, l_discount * 2 + l_tax + l_extendedprice / 1000000 AS score FROM lineitem),
+f AS (SELECT *, ntile(5) OVER (PARTITION BY label ORDER BY md5(cast(id AS varchar) || '|127'), cast(id AS varchar)) AS iter FROM s),
+a AS ({_AUC_SQL.format(by='iter,', part='PARTITION BY iter', source='f')} GROUP BY iter)
+SELECT CAST(iter AS INTEGER) AS fold, auc FROM a WHERE auc > 0 ORDER BY auc DESC, iter LIMIT 1""")
+def fold_aucs_best(spark, sf_dir):
+    """The fold that training would choose if the score were the model."""
+    rows = corpora.table(spark, sf_dir, "lineitem").selectExpr(
+        "cast(l_orderkey * 8 + l_linenumber AS string) AS id", "int(l_returnflag = 'R') AS label",
+        "l_discount * 2 + l_tax + l_extendedprice / 1000000 AS score")
+    folds = splits.stratified_kfold(rows, key="id").withColumn("fold", F.col("fold") + 1)
+    return training.select_best_fold(rounded(metrics.roc_auc(folds, by=["fold"])))
+
+
+@register("top_features", """SELECT feature, importance FROM (SELECT 'supplier ' || cast(l_suppkey AS varchar) AS feature,
+floor(sum(l_quantity) / 100) AS importance FROM lineitem GROUP BY l_suppkey) ORDER BY importance DESC, feature LIMIT 20""")
+def top_features(spark, sf_dir):
+    """The list that importances give, over weights with ties."""
+    weights = corpora.table(spark, sf_dir, "lineitem").groupBy("l_suppkey").agg(F.floor(F.sum("l_quantity") / 100).cast("double").alias("importance"))
+    return training.top_features(weights.select(F.concat(F.lit("supplier "), F.col("l_suppkey").cast("string")).alias("feature"), "importance"))
+
+
 @register("best_iteration", """WITH curve AS (SELECT l_linenumber AS fold, CAST(date_diff('day', DATE '1992-01-01', CAST(l_shipdate AS DATE)) AS INTEGER) AS iter,
   max(l_extendedprice) AS auc FROM lineitem GROUP BY ALL),
 m AS (SELECT *, CASE WHEN auc > coalesce(max(auc) OVER (PARTITION BY fold ORDER BY iter ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), -1) THEN iter END AS better FROM curve),
@@ -378,6 +489,29 @@ _explain_query("en")
 _explain_query("ru")
 
 
+@register("prediction_records", f"""{_SCORED_SQL} SELECT url, prediction, prediction = 1 AS is_phishing, round(score, 6) AS probability_phishing,
+round(1 - score, 6) AS probability_legitimate, round(CASE WHEN prediction = 1 THEN score ELSE 1 - score END, 6) AS confidence, {_RISK_SQL} AS risk_level,
+{_explain_sql("en")} AS explanation, CAST(url_length AS BIGINT) AS length_feature, CAST(has_sensitive_words AS BIGINT) AS words_feature FROM scored""")
+def prediction_records(spark, sf_dir):
+    """The whole record, with two of its features."""
+    features = url_features(corpora.addresses(spark, sf_dir).where("url <> ''"))
+    records = explain.prediction_record(corpora.rule_scorer(features), "en")
+    return rounded(records.select("*", F.col("features.url_length").cast("bigint").alias("length_feature"),
+                                  F.col("features.has_sensitive_words").cast("bigint").alias("words_feature")).drop("features"))
+
+
+@register("saved_model_scores", "SELECT count(*) AS rows, CAST(0 AS BIGINT) AS different FROM pages")
+def saved_model_scores(spark, sf_dir):
+    """A pipeline saved and loaded scores every address as the model before saving."""
+    folder = _scratch(spark, "models")
+    model = training.fit_gbt(_vectors(spark, sf_dir), SMALL_PARAMS)
+    PipelineModel([*training.feature_stages(), model]).write().save(folder)
+    features = url_features(corpora.table(spark, sf_dir, "pages").select("page_id", "url")).checkpoint()
+    before, after = (training.score(features, m).select("page_id", F.col("probability_phishing").alias(name))
+                     for m, name in ((model, "before"), (PipelineModel.load(folder), "after")))
+    return before.join(after, "page_id").agg(F.count("*").alias("rows"), F.count_if(F.col("before") != F.col("after")).alias("different"))
+
+
 @register("prediction_summary", f"{_SCORED_SQL} SELECT count(*) FILTER (prediction = 1) AS phishing, count(*) AS total FROM scored")
 def prediction_summary(spark, sf_dir):
     features = url_features(corpora.addresses(spark, sf_dir).where("url <> ''"))
@@ -410,15 +544,35 @@ def list_flags_shuffled(spark, sf_dir):
     return listmatch.with_list_flags(hosts, lists).drop("hostname")
 
 
-def _cascade_sql(base: str, keep: str) -> str:
-    """CTEs ending in ``verdicts`` for the addresses in CTE ``given``."""
-    ml = features_sql(corpora.RULE_FEATURES, "browser", keep=("url",))
+_HOT_HOST = "CASE WHEN l_returnflag = 'R' THEN 'www.shop.hot.example.com' ELSE concat(substr(md5(cast(l_partkey AS string)), 1, 3), '.x', cast(l_suppkey % 50 AS string), '.com') END"
+_HOT_LISTS = {
+    "whitelist": "SELECT DISTINCT concat('x', cast(s_suppkey % 50 AS string), '.com') AS domain FROM supplier WHERE s_suppkey % 50 = 7",
+    "safe": "SELECT DISTINCT concat('x', cast(s_suppkey % 50 AS string), '.com') AS domain FROM supplier WHERE s_suppkey % 50 < 5",
+    "blacklist": "SELECT DISTINCT 'shop.hot.example.com' AS domain FROM supplier",
+}
+
+
+@register("list_flags_hot_host", f"""WITH {', '.join(f"{k} AS ({v.replace('AS string', 'AS varchar')})" for k, v in _HOT_LISTS.items())},
+parts AS (SELECT l_returnflag, {_HOT_HOST.replace('AS string', 'AS varchar')} AS dom FROM lineitem), {_FLAGS_SQL}
+SELECT l_returnflag, in_whitelist, in_safe, in_blacklist, count(*) AS n FROM parts JOIN flags ON dom = host GROUP BY ALL""")
+def list_flags_hot_host(spark, sf_dir):
+    """The way of big lists when a quarter of all rows have one host."""
+    items, suppliers = corpora.table(spark, sf_dir, "lineitem"), corpora.table(spark, sf_dir, "supplier")
+    lists = listmatch.prepare_lists(*(spark.sql(sql.replace("FROM supplier", "FROM {suppliers}"), suppliers=suppliers) for sql in _HOT_LISTS.values()), max_rows=0)
+    hosts = items.select("l_returnflag", F.expr(_HOT_HOST).alias("hostname"))
+    flagged = listmatch.with_list_flags(hosts, lists)
+    return flagged.groupBy("l_returnflag", "in_whitelist", "in_safe", "in_blacklist").agg(F.count("*").alias("n"))
+
+
+def _cascade_sql(base: str, keep: str, *more: str) -> str:
+    """CTEs ending in ``verdicts`` for the addresses in CTE ``given``; ``more`` features are kept."""
+    ml = features_sql((*corpora.RULE_FEATURES, *more), "browser", keep=("url",))
     return f"""WITH {base}, addresses AS (SELECT DISTINCT url FROM given),
-ml AS (WITH {ml} SELECT url, {corpora.SCORE} AS p, has_ip_address IS NOT NULL AS ok FROM feats),
+ml AS (WITH {ml} SELECT url, {corpora.SCORE} AS p, has_ip_address IS NOT NULL AS ok{''.join(', ' + m for m in more)} FROM feats),
 {browser_parts_sql(assume_http=False)}, {corpora.LISTS_SQL}, {_FLAGS_SQL},
 listed AS (SELECT parts.url, dom, CASE WHEN in_whitelist THEN 'whitelist' WHEN in_safe THEN 'global_safe' WHEN in_blacklist THEN 'blacklist' END AS hit
   FROM parts LEFT JOIN flags ON dom = host),
-verdicts AS (SELECT {keep}, dom,
+verdicts AS (SELECT {keep}, dom,{''.join(f' ml.{m},' for m in more)}
   CASE WHEN dom IS NULL THEN NULL WHEN hit IN ('whitelist', 'global_safe') THEN 'safe' WHEN hit = 'blacklist' THEN 'phishing'
        WHEN NOT ok THEN 'error' WHEN p > 0.5 THEN 'phishing' ELSE 'safe' END AS result,
   CASE WHEN dom IS NULL THEN NULL WHEN hit IS NOT NULL THEN hit WHEN NOT ok THEN 'feature_extraction_failed' ELSE 'ml' END AS reason,
@@ -429,10 +583,23 @@ verdicts AS (SELECT {keep}, dom,
 _ALL_GIVEN = f"{corpora.ADDRESSES_SQL.replace('addresses AS', 'given AS')}"
 
 
-@register("verdict_cascade", f"{_cascade_sql(_ALL_GIVEN, 'page_id, given.url')} SELECT page_id, url, result, reason, CAST(score AS DOUBLE) AS score FROM verdicts")
+@register("verdict_cascade", f"{_cascade_sql(_ALL_GIVEN, 'page_id, given.url')} SELECT page_id, url, result, reason, CAST(score AS DOUBLE) AS score, CAST(NULL AS VARCHAR) AS error FROM verdicts")
 def verdict_cascade(spark, sf_dir):
     verdicts = cascade.verdict_cascade(corpora.addresses(spark, sf_dir), prepared_lists(spark, sf_dir), corpora.rule_scorer)
-    return rounded(verdicts.drop("error"))
+    return rounded(verdicts)
+
+
+@register("verdicts_patchy_model", f"""{_cascade_sql(_ALL_GIVEN, 'page_id, given.url', 'url_length')}
+SELECT page_id, url, CASE WHEN silent THEN 'error' ELSE result END AS result, CASE WHEN silent THEN 'prediction_failed' ELSE reason END AS reason,
+CASE WHEN NOT silent THEN CAST(score AS DOUBLE) END AS score, CASE WHEN silent THEN 'the model gave no prediction' END AS error
+FROM (SELECT *, coalesce(reason = 'ml' AND url_length % 7 = 0, false) AS silent FROM verdicts)""")
+def verdicts_patchy_model(spark, sf_dir):
+    """A model that has no answer for some addresses."""
+    def patchy(features: DataFrame) -> DataFrame:
+        answered = F.col("url_length") % 7 != 0
+        return corpora.rule_scorer(features).withColumns({c: F.when(answered, F.col(c)) for c in ("prediction", "probability_phishing")})
+
+    return rounded(cascade.verdict_cascade(corpora.addresses(spark, sf_dir), prepared_lists(spark, sf_dir), patchy))
 
 
 @register("verdicts_without_model", f"""{_cascade_sql(_ALL_GIVEN, 'given.url')}
@@ -444,10 +611,10 @@ def verdicts_without_model(spark, sf_dir):
 
 
 @register("request_answers", f"""{_cascade_sql(_ALL_GIVEN, 'page_id, given.url')} SELECT page_id, url, coalesce(result, 'error') AS result,
-coalesce(reason, 'no_response') AS reason, CAST(score AS DOUBLE) AS score FROM verdicts""")
+coalesce(reason, 'no_response') AS reason, CAST(score AS DOUBLE) AS score, CAST(NULL AS VARCHAR) AS error FROM verdicts""")
 def request_answers(spark, sf_dir):
     answers = cascade.answer_requests(corpora.addresses(spark, sf_dir), prepared_lists(spark, sf_dir), corpora.rule_scorer)
-    return rounded(answers.drop("error"))
+    return rounded(answers)
 
 
 @register("display_text", f"""{_cascade_sql(_ALL_GIVEN, 'given.url')}
@@ -461,6 +628,18 @@ def display_text(spark, sf_dir):
     return verdicts.select("url", text.alias("message"))
 
 
+@register("display_ties", """SELECT DISTINCT score, 'ML Confidence: ' || format('{:.1f}%', score * 100 + 1e-9) AS danger,
+'Safety Score: ' || format('{:.1f}%', (1 - score) * 100 + 1e-9) AS safety FROM (SELECT (l_orderkey % 33) / 32.0::DOUBLE AS score FROM lineitem)""")
+def display_ties(spark, sf_dir):
+    """Scores half-way between two tenths of a percent among others."""
+    scores = corpora.table(spark, sf_dir, "lineitem").select(((F.col("l_orderkey") % 33) / 32.0).alias("score")).distinct()
+
+    def text(result: str):
+        return explain.display_text(F.lit(result), F.lit("ml"), F.col("score"), F.lit(None).cast("string"))
+
+    return scores.select("score", text("phishing").alias("danger"), text("safe").alias("safety"))
+
+
 # --------------------------------------------------------------- navigation
 
 _VISITS_SQL = f"""{corpora.SOURCES_SQL.split('primary_raw')[0].strip().rstrip(',')},
@@ -489,7 +668,7 @@ def nav_counters(spark, sf_dir):
 SELECT event_id, url, dom AS host, dom || ' may be dangerous' AS message FROM verdicts WHERE result = 'phishing'""")
 def alerts(spark, sf_dir):
     loads = navigation.completed_loads(navigations(spark, sf_dir)).select("event_id", "url")
-    verdicts = cascade.verdict_cascade(loads, prepared_lists(spark, sf_dir), corpora.rule_scorer)
+    verdicts = cascade.verdict_cascade(loads, prepared_lists(spark, sf_dir), corpora.rule_scorer, host_col="host")
     return cascade.alerts(verdicts).select("event_id", "url", "host", "message")
 
 
@@ -518,8 +697,10 @@ def whitelist_search(spark, sf_dir):
 
 
 def _scratch(spark: SparkSession, name: str) -> str:
-    root = checkpoint_dir(spark)
-    return f"{root.rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    """A folder of its own in the shared one, which goes when the driver ends."""
+    folder = f"{checkpoint_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    delete(spark, folder, at_end=True)
+    return folder
 
 
 @register("stream_counters", f"{_cascade_sql(_VISITS_SQL, 'event_id, given.url')} {_COUNTERS}")
@@ -540,7 +721,8 @@ def training_features(spark: SparkSession, sf_dir: str) -> DataFrame:
     return features.withColumn("label", F.expr(corpora.TRUTH))
 
 
-SMALL_PARAMS = training.GbtParams(iterations=4, learning_rate=0.3, depth=4, max_bins=32)
+# Far below the published settings: these queries show that training works.
+SMALL_PARAMS = training.GbtParams(iterations=4, learning_rate=0.3, depth=4, max_bins=32, early_stopping_rounds=0, min_gain=1e-4)
 
 
 @register("gbt_train")

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import atexit
+import re
+import shutil
 import tempfile
 
 from pyspark.sql import SparkSession
@@ -15,13 +18,16 @@ SQL_SETTINGS = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.session.timeZone": "UTC",
 }
+CLEANING = {"spark.cleaner.referenceTracking.cleanCheckpoints": "true"}
+
+LOCAL_HEAP = "10g"
 
 
 def build_session(master: str | None = None, app_name: str = "urlwarden", extra: dict[str, str] | None = None) -> SparkSession:
     builder = SparkSession.builder.appName(app_name)
     if master:
-        builder = builder.master(master).config("spark.driver.memory", "16g")
-    settings = SQL_SETTINGS | {"spark.ui.enabled": "false", "spark.ui.showConsoleProgress": "false"} | (extra or {})
+        builder = builder.master(master).config("spark.driver.memory", LOCAL_HEAP)
+    settings = SQL_SETTINGS | CLEANING | {"spark.ui.enabled": "false", "spark.ui.showConsoleProgress": "false"} | (extra or {})
     for key, value in settings.items():
         builder = builder.config(key, value)
     session = builder.getOrCreate()
@@ -38,14 +44,26 @@ def tune(spark: SparkSession) -> SparkSession:
 def checkpoint_dir(spark: SparkSession) -> str:
     """The shared folder named by the cluster.
 
-    Only a local session may go without one; it then gets a temporary folder.
+    Only a local session, one process without executors of its own, may go
+    without one; it then gets a temporary folder, which ends with the process.
     """
     context = spark.sparkContext
     configured = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
     if not configured:
-        if not context.master.startswith("local"):
+        if not re.fullmatch(r"local(\[.*\])?", context.master):
             raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
         configured = tempfile.mkdtemp(prefix="urlwarden-checkpoint-")
+        atexit.register(shutil.rmtree, configured, ignore_errors=True)
     if context.getCheckpointDir() is None:
         context.setCheckpointDir(configured)
     return configured
+
+
+def delete(spark: SparkSession, path: str, at_end: bool = False) -> None:
+    """Remove a file or folder on any file system Spark reaches, now or when the driver ends."""
+    target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    system = target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    if at_end:
+        system.deleteOnExit(target)
+    else:
+        system.delete(target, True)

@@ -10,7 +10,7 @@ from pyspark.ml.feature import VectorAssembler
 from pyspark.sql import DataFrame, SparkSession
 
 from urlwarden.functions.vocab import FEATURE_NAMES
-from urlwarden.operators.training import TrainingRun
+from urlwarden.operators.training import ROUNDED, TrainingRun
 
 METADATA_SCHEMA = (
     "version string, timestamp string, dataset string, train_size bigint, test_size bigint, best_fold int, "
@@ -51,4 +51,5 @@ def read_metadata(spark: SparkSession, root: str, version: str = LATEST) -> Data
 
 
 def feature_order(model: PipelineModel) -> list[str]:
-    return next(s for s in model.stages if isinstance(s, VectorAssembler)).getInputCols()
+    names = next(s for s in model.stages if isinstance(s, VectorAssembler)).getInputCols()
+    return [name.removeprefix(ROUNDED) for name in names]

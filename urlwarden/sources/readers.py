@@ -18,18 +18,38 @@ def trimmed(text: Column) -> Column:
 def read_labelled(spark: SparkSession, path: str, fmt: str | None = None, multiline: bool = True) -> DataFrame:
     """CSV, Parquet or JSON by extension; text columns stay strings.
 
-    ``multiline`` allows line breaks inside quoted CSV cells and JSON written as
-    one array, at one task per file; switch it off for big line-based files.
+    Blank cells and the usual marks for a missing value are null in text columns
+    of any format. ``multiline`` allows line breaks inside quoted CSV cells and
+    JSON written as one array, at one task per file, however big it is; switch it
+    off for files of one record per line, which are then read in pieces, or read
+    once through ``as_parquet``.
     """
     fmt = fmt or path.rstrip("/").rsplit(".", 1)[-1].lower()
     if fmt == "csv":
         raw = spark.read.csv(path, header=True, quote='"', escape='"', multiLine=multiline)
-        return raw.select(*(F.when(~F.col(f"`{c}`").isin(*CSV_MISSING), F.col(f"`{c}`")).alias(c) for c in raw.columns))
-    if fmt == "parquet":
-        return spark.read.parquet(path)
-    if fmt == "json":
-        return spark.read.json(path, multiLine=multiline, primitivesAsString=True)
-    raise ValueError(f"unknown format {fmt!r}")
+    elif fmt == "parquet":
+        raw = spark.read.parquet(path)
+    elif fmt == "json":
+        raw = spark.read.json(path, multiLine=multiline, primitivesAsString=True)
+    else:
+        raise ValueError(f"unknown format {fmt!r}")
+    return without_missing(raw)
+
+
+def without_missing(df: DataFrame) -> DataFrame:
+    """Null for cells of text columns that stand for a missing value."""
+    texts = {f.name for f in df.schema if f.dataType.typeName() == "string"}
+    cells = (F.col(f"`{c}`") for c in df.columns)
+    return df.select(*(
+        F.when((cell != "") & ~cell.isin(*CSV_MISSING), cell).alias(c) if c in texts else cell.alias(c) for c, cell in zip(df.columns, cells)))
+
+
+def as_parquet(spark: SparkSession, source: str, folder: str, fmt: str | None = None) -> DataFrame:
+    """A source that one task must read, stored in pieces on the first call."""
+    marker = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{folder}/_SUCCESS")
+    if not marker.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(marker):
+        read_labelled(spark, source, fmt).write.mode("overwrite").parquet(folder)
+    return spark.read.parquet(folder)
 
 
 def list_files(spark: SparkSession, folder: str) -> DataFrame:
@@ -68,7 +88,8 @@ def read_url_list(spark: SparkSession, path: str, column: str = "url") -> DataFr
 
 
 def read_safe_domains(spark: SparkSession, path: str) -> DataFrame:
-    """A JSON array of domains per file."""
+    """A JSON array of domains per file. A file is one cell, so a list beyond
+    some hundred megabytes belongs in several files, which are read side by side."""
     text = spark.read.text(path, wholetext=True)
     return text.select(F.explode(F.from_json("value", "array<string>")).alias("domain")).distinct()
 

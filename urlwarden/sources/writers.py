@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import hashlib
 from datetime import datetime
 
 from pyspark.sql import DataFrame, SparkSession
@@ -9,8 +10,6 @@ from pyspark.sql import functions as F
 
 from urlwarden.functions.features import url_features
 
-MANIFEST_SCHEMA = "row_count bigint, fingerprint decimal(38,0)"
-
 
 def write_merged(df: DataFrame, path: str, fmt: str = "csv") -> None:
     writer = df.select("url", "label").write.mode("overwrite")
@@ -28,30 +27,25 @@ def write_predictions(records: DataFrame, folder: str, now: datetime | None = No
     return path
 
 
-def corpus_manifest(corpus: DataFrame) -> DataFrame:
-    """Row count and an order-free fingerprint of the addresses."""
-    return corpus.agg(
-        F.count("*").alias("row_count"),
-        F.coalesce(F.sum(F.xxhash64("url").cast("decimal(38,0)")), F.lit(0)).cast("decimal(38,0)").alias("fingerprint"),
-    )
+def corpus_fingerprint(corpus: DataFrame) -> str:
+    """Names, types and an order-free sum over all cells: equal for equal corpora only."""
+    cells = [F.xxhash64(*corpus.columns, F.lit(seed)).cast("decimal(38,0)") for seed in ("a", "b")]
+    row = corpus.agg(F.count("*"), *(F.coalesce(F.sum(c), F.lit(0)).cast("decimal(38,0)") for c in cells)).first()
+    return hashlib.sha256(repr((corpus.dtypes, *map(str, row))).encode()).hexdigest()[:32]
 
 
 def materialise_features(corpus: DataFrame, path: str) -> DataFrame:
     """Features of a corpus as Parquet, reused while the corpus is the same.
 
-    Reuse needs the same row count and the same fingerprint, so a changed
-    corpus of equal size is extracted anew. The manifest is written last.
+    Every corpus has a folder named by its fingerprint, so one with another label
+    or another column is extracted anew and never shows another's rows. A folder
+    counts once its manifest stands, which is written last.
     """
     spark: SparkSession = corpus.sparkSession
-    wanted = corpus_manifest(corpus).first()
-    manifest = spark.read.schema(MANIFEST_SCHEMA).option("ignoreMissingFiles", True)
-    try:
-        stored = manifest.json(f"{path}/manifest").first()
-    except Exception as error:  # no manifest yet
-        if "PATH_NOT_FOUND" not in str(error):
-            raise
-        stored = None
-    if stored is None or tuple(stored) != tuple(wanted):
-        url_features(corpus).write.mode("overwrite").parquet(f"{path}/features")
-        spark.createDataFrame([wanted], MANIFEST_SCHEMA).coalesce(1).write.mode("overwrite").json(f"{path}/manifest")
-    return spark.read.parquet(f"{path}/features")
+    folder = f"{path.rstrip('/')}/{corpus_fingerprint(corpus)}"
+    manifest = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{folder}/manifest/_SUCCESS")
+    if not manifest.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(manifest):
+        url_features(corpus).write.mode("overwrite").parquet(f"{folder}/features")
+        written = spark.read.parquet(f"{folder}/features").agg(F.count("*").alias("row_count"))
+        written.coalesce(1).write.mode("overwrite").json(f"{folder}/manifest")
+    return spark.read.parquet(f"{folder}/features")

@@ -17,9 +17,11 @@ from urlwarden.functions.hosts import strip_www, with_hostname
 from urlwarden.operators.cascade import Scorer, verdict_cascade
 from urlwarden.operators.listmatch import DomainLists, prepare_lists
 from urlwarden.operators.metrics import session_counters
+from urlwarden.session import checkpoint_dir, delete
 
 EVENT_SCHEMA = "tab_id bigint, status string, url string, ts timestamp"
 OPS_SCHEMA = "seq bigint, op string, value string"
+KEPT_SNAPSHOTS = 3
 COUNTERS_SCHEMA = "sites_checked bigint, phishing_blocked bigint, safe_visited bigint, batch bigint"
 
 
@@ -46,9 +48,11 @@ def stream_counters(verdicts: DataFrame) -> DataFrame:
 
 def persist_counters(counters: DataFrame, path: str, checkpoint: str, **trigger) -> StreamingQuery:
     """Write the totals after each batch under the batch's own folder, so a
-    repeated batch overwrites itself."""
+    repeated batch overwrites itself. The newest ``KEPT_SNAPSHOTS`` stay."""
     def save(batch: DataFrame, batch_id: int) -> None:
         batch.withColumn("batch", F.lit(batch_id).cast("bigint")).coalesce(1).write.mode("overwrite").parquet(f"{path}/batch={batch_id}")
+        if batch_id >= KEPT_SNAPSHOTS:
+            delete(batch.sparkSession, f"{path}/batch={batch_id - KEPT_SNAPSHOTS}")
 
     return (
         counters.writeStream.outputMode("complete").foreachBatch(save)
@@ -73,18 +77,44 @@ def whitelist_changes(ops: DataFrame) -> DataFrame:
 
 def whitelist_state(ops: DataFrame) -> DataFrame:
     """Domains on the list after all changes: the last change of each decides."""
-    last = whitelist_changes(ops).groupBy("domain").agg(F.max_by("op", "seq").alias("op"))
-    return last.where(F.col("op") == "add").select("domain")
+    return listed(last_changes(whitelist_changes(ops)))
+
+
+def last_changes(changes: DataFrame) -> DataFrame:
+    """``domain, seq, added``: each domain's last change. Of a boolean and a number,
+    so that it stays a hash aggregate."""
+    added = F.col("op") == "add" if "op" in changes.columns else F.col("added")
+    return changes.groupBy("domain").agg(F.max("seq").alias("seq"), F.max_by(added, "seq").alias("added"))
+
+
+def listed(state: DataFrame) -> DataFrame:
+    return state.where("added").select("domain")
 
 
 def run_with_changing_whitelist(
     events: DataFrame, read_ops: Callable[[], DataFrame], safe: DataFrame, blacklist: DataFrame,
     sink: Callable[[DataFrame, int], None], checkpoint: str, scorer: Scorer | None = None, **trigger,
 ) -> StreamingQuery:
-    """Per micro-batch: rebuild the lists, judge the batch, hand it to ``sink``."""
+    """Per micro-batch: apply the changes since the last one, judge, hand to ``sink``.
+
+    The state is each domain's last change, checkpointed; only changes of a higher
+    ``seq`` than it has seen are read again, and without one the prepared lists
+    stay. A restarted query reads all changes once.
+    """
+    kept: dict = {"state": None, "seen": None, "lists": None}
+
     def judge(batch: DataFrame, batch_id: int) -> None:
-        lists = prepare_lists(whitelist_state(read_ops()), safe, blacklist)
-        sink(stream_verdicts(batch, lists, scorer), batch_id)
+        ops = read_ops()
+        fresh = ops if kept["seen"] is None else ops.where(F.col("seq") > kept["seen"])
+        newest = fresh.agg(F.max("seq")).first()[0]
+        if kept["lists"] is None or newest is not None:
+            checkpoint_dir(batch.sparkSession)
+            changes = last_changes(whitelist_changes(fresh))
+            state = changes if kept["state"] is None else last_changes(kept["state"].unionByName(changes))
+            kept["state"] = state.checkpoint()
+            kept["seen"] = newest if newest is not None else kept["seen"]
+            kept["lists"] = prepare_lists(listed(kept["state"]), safe, blacklist)
+        sink(stream_verdicts(batch, kept["lists"], scorer), batch_id)
 
     return (
         events.writeStream.foreachBatch(judge).option("checkpointLocation", checkpoint)
