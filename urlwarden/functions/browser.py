@@ -18,6 +18,7 @@ from urlwarden.functions.urlparts import IPV6, after, without_line_breaks
 # Default ports of the schemes with special host rules.
 DEFAULT_PORTS = {"http": 80, "https": 443, "ws": 80, "wss": 443, "ftp": 21}
 
+PARTS = ("scheme", "host", "port", "path", "query", "fragment")
 SCHEME = r"\A([A-Za-z][A-Za-z0-9+.\-]*):"
 OUTER_BLANKS = r"\A[\x00-\x20]+|[\x00-\x20]+\z"
 FORBIDDEN_IN_DOMAIN = r"[\x00-\x20#/:<>?@\[\\\]^|%\x7f]"
@@ -47,9 +48,10 @@ def utf16_entropy(text: Column, entropy) -> Column:
 
 
 def with_browser_parts(
-    df: DataFrame, url_col: str = "url", prefix: str = "", assume_http: bool = True
+    df: DataFrame, url_col: str = "url", prefix: str = "", assume_http: bool = True, only: tuple[str, ...] = PARTS
 ) -> DataFrame:
-    """Add ``scheme host port path query fragment``; all null when invalid.
+    """Add ``scheme host port path query fragment``, or ``only`` some of them; all
+    null when invalid.
 
     ``assume_http`` puts ``http://`` before addresses that do not start with
     ``http``. Query and fragment keep their ``?`` and ``#``; ``port`` is -1
@@ -111,11 +113,13 @@ def with_browser_parts(
         default_port = default_port | ((c("scheme") == scheme) & (c("portnum") == port))
     path = F.when(c("hier").isNull(), c("body")).otherwise(after(c("hier"), c("authority")))
     query, fragment = after(c("nofrag"), c("noquery"), 1), after(c("rest"), c("nofrag"), 1)
-    return sealed(df, kept, {
-        f"{prefix}scheme": when_ok(c("scheme")),
-        f"{prefix}host": when_ok(F.when(special | (c("scheme") == "file"), F.lower(c("host"))).otherwise(c("host"))),
-        f"{prefix}port": when_ok(F.when(default_port, -1).otherwise(c("portnum")).cast("bigint")),
-        f"{prefix}path": when_ok(F.when((path == "") & special, "/").otherwise(path)),
-        f"{prefix}query": when_ok(F.when(query != "", F.concat(F.lit("?"), query)).otherwise("")),
-        f"{prefix}fragment": when_ok(F.when(fragment != "", F.concat(F.lit("#"), fragment)).otherwise("")),
-    })
+    values = {
+        "scheme": when_ok(c("scheme")),
+        "host": when_ok(F.when(special | (c("scheme") == "file"), F.lower(c("host"))).otherwise(c("host"))),
+        "port": when_ok(F.when(default_port, -1).otherwise(c("portnum")).cast("bigint")),
+        "path": when_ok(F.when((path == "") & special, "/").otherwise(path)),
+        "query": when_ok(F.when(query != "", F.concat(F.lit("?"), query)).otherwise("")),
+        "fragment": when_ok(F.when(fragment != "", F.concat(F.lit("#"), fragment)).otherwise("")),
+    }
+    # What is not asked for is not in the sealed row, so it is never worked out.
+    return sealed(df, kept, {prefix + name: values[name] for name in only})

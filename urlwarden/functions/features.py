@@ -247,8 +247,10 @@ def url_features(
     profile: str = "training",
     features: Sequence[str] = FEATURE_NAMES,
     entropy: str = "arrow",
+    tld_col: str | None = None,
 ) -> DataFrame:
-    """Append the feature columns (all 73 by default) to ``df``.
+    """Append the feature columns (all 73 by default) to ``df``, and the top-level
+    domain as ``tld_col`` if that is given.
 
     A null or empty address, and in the browser profile also an invalid one,
     gives nulls in every feature. ``entropy="native"`` keeps the whole job off
@@ -292,4 +294,5 @@ def url_features(
         formulas |= _browser_only(texts, F.col(p + "port"), entropy_of)
     else:
         formulas |= _training_only(texts, F.col(p + "params"), entropy_of)
-    return staged.select(*given, *(formulas[name].alias(name) for name in features))
+    tld = [top_level_domain(texts.host).alias(tld_col)] if tld_col else []
+    return staged.select(*given, *tld, *(formulas[name].alias(name) for name in features))

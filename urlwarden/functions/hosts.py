@@ -11,7 +11,7 @@ from urlwarden.functions.browser import with_browser_parts
 def with_hostname(df: DataFrame, url_col: str = "url", out: str = "hostname", assume_http: bool = False) -> DataFrame:
     """Add the host name a browser would report; null for an invalid address."""
     p = "__host_"
-    staged = with_browser_parts(df, url_col, prefix=p, assume_http=assume_http)
+    staged = with_browser_parts(df, url_col, prefix=p, assume_http=assume_http, only=("host",))
     return staged.select(*df.columns, F.col(p + "host").alias(out))
 
 

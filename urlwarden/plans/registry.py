@@ -131,8 +131,8 @@ CAST(sum(qty_suspicious_keywords) AS BIGINT) AS keywords, CAST(sum(has_ip_addres
 FROM feats WHERE url_length IS NOT NULL GROUP BY tld""")
 def tld_profile(spark, sf_dir):
     """Flagship: features of every address, summarised per top-level domain."""
-    parts = with_url_parts(corpora.addresses(spark, sf_dir).where("url <> ''")).select("url", top_level_domain(F.col("host")).alias("tld"))
-    features = url_features(parts, features=("url_length", "entropy_url", "qty_suspicious_keywords", "has_ip_address"))
+    names = ("url_length", "entropy_url", "qty_suspicious_keywords", "has_ip_address")
+    features = url_features(corpora.addresses(spark, sf_dir).where("url <> ''"), features=names, tld_col="tld")
     return features.groupBy("tld").agg(
         F.count("*").alias("n"), F.round(F.avg("url_length"), 6).alias("avg_length"),
         F.round(F.avg("entropy_url"), 5).alias("avg_entropy"),
