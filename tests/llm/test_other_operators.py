@@ -145,7 +145,8 @@ def test_segmentations_odd_rows(spark, odd_docs, no_docs):
         assert vocabulary.decode(r["ids"]) in texts[r["doc_id"], r["source"]]
     empty = [r for r in rows if r["doc_id"] == 4]
     assert [(r["ids"], r["inclusion"], r["sample"]) for r in empty] == [([], 1.0, 1)]
-    assert rows_of(segment.sample_segmentations(odd_docs.repartition(5), PIECE_BPE, ["doc_id", "source"])).sort(key=str) == rows.sort(key=str)
+    again = rows_of(segment.sample_segmentations(odd_docs.repartition(5), PIECE_BPE, ["doc_id", "source"]))
+    assert sorted(again, key=str) == sorted(rows, key=str)
     assert rows_of(segment.sample_segmentations(no_docs, PIECE_BPE, ["doc_id"])) == []
     back = odd_docs.select(segment.decoded(F.lit(None).cast("array<int>"), PIECE_BPE).alias("t"))
     assert {r["t"] for r in rows_of(back)} == {None}
@@ -308,7 +309,7 @@ def test_lm_odd_rows(spark, odd_docs, no_docs):
 
 @pytest.fixture(scope="module")
 def small_model():
-    codes = attention.Codes(6, (3, 4))
+    codes = attention.Codes(6, (3, 4, 2), (False, True, True))
     draw = np.random.default_rng(0)
     windows = draw.integers(0, codes.size, (40, attention.LENGTH + 1))
     return codes, attention.fresh(codes, np.bincount(windows.ravel(), minlength=codes.size).astype(float)), windows
@@ -323,8 +324,8 @@ def test_gradients_by_differences(small_model):
     def loss():
         scorer = attention.Scorer(p, codes, np.array([True, False] * 3))
         total = 0.0
-        for row, used in zip(windows[:3], use):
-            total -= scorer.logs(row)[0][used].sum()
+        for logs, used in zip(scorer.logs(list(windows[:3])), use):
+            total -= logs[0][used].sum()
         return total / use.sum()
 
     gradients = attention.gradients(p, codes, ids, targets, use)
@@ -351,14 +352,16 @@ def test_attention_is_causal_and_adds_up(small_model):
     codes, p, windows = small_model
     scorer = attention.Scorer(p, codes, np.array([True, False] * 3))
     row = windows[0]
-    logs = scorer.logs(row)[0]
+    logs = scorer.logs([row])[0][0]
     changed = row.copy()
     changed[20:] = 0
-    assert np.allclose(scorer.logs(changed)[0][:19], logs[:19])
+    assert np.allclose(scorer.logs([changed])[0][0][:19], logs[:19])
+    many = [row[:2], row, row[:9], np.concatenate([row] * 5), changed]
+    assert all(np.allclose(a, scorer.logs([r])[0], atol=1e-4) for a, r in zip(scorer.logs(many, together=3), many))
     for place in (0, 5, 30):
         total = 0.0
         for code in range(codes.size):
             trial = row[:place + 2].copy()
             trial[place + 1] = code
-            total += np.exp(scorer.logs(trial)[0][place])
+            total += np.exp(scorer.logs([trial])[0][0][place])
         assert total == pytest.approx(1, abs=1e-4)

@@ -30,7 +30,7 @@ SAMPLES = 3
 BLANK = "▁"
 WORDS = re.compile(f"{BLANK}*[^{BLANK}]+|{BLANK}+")
 BYTE_LOG = -12.0  # natural log weight of each byte of a character that no piece has
-KEPT_WORDS = 200_000
+KEPT_WORDS = 20_000  # a word's lattice takes some kilobytes
 
 Edges = list[tuple[int, tuple[int, ...], float]]
 
