@@ -55,7 +55,7 @@ def pack(
     one end id. Rows with equal or null ids stay apart. No documents, no rows.
     Other columns are not looked at.
     """
-    rows = settle(encoded(docs, tokenizer, id_col, text_col, end_id))
+    rows = settle(encoded(docs, tokenizer, id_col, text_col, end_id), "snappy")
     size = F.length("ids") / F.col("bytes_each")
     totals = rows.groupBy("part").agg(F.max(F.col("place") + size.cast("bigint")).alias("total"))
     # One row per partition of the input, whatever its size.

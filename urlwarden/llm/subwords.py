@@ -1,15 +1,16 @@
 """Ids of a byte-level BPE vocabulary, by `tokenizers`, with each word encoded once.
 
 The vocabulary's pattern cuts a text before any merge, and equal cuts have equal
-ids. Texts of plain characters are cut here by the same pattern; a dictionary of
-cuts then saves most calls, and new cuts are encoded together, one to a line.
-Texts with other characters are encoded whole.
+ids. Texts of plain characters are cut here by the same pattern, a dictionary of
+cuts saves most of the merging, and the vocabulary's merges are applied to the
+rest. Texts with other characters are encoded whole.
 """
 
 from __future__ import annotations
 
 import os
 import re
+import struct
 from collections.abc import Iterable
 
 import numpy as np
@@ -20,8 +21,14 @@ LETTERS = "A-Za-zÀ-ÖØ-öø-ÿ"
 # The vocabulary's pattern, for texts without a character that UNUSUAL finds.
 CUTS = re.compile(f"'(?:[stmd]|re|ve|ll)| ?[{LETTERS}]+| ?[0-9]+| ?[^ \\n0-9{LETTERS}]+|[ \\n]+(?![^ \\n])|[ \\n]+")
 UNUSUAL = re.compile("[^\\n -~À-ÿ]")  # "<|" may open a special token; such texts are unusual too
-KEPT_CUTS = 1_000_000  # in two halves; what isn't met again while one fills is forgotten
-LINES = 100  # new cuts in one text
+KEPT_CUTS = 250_000  # in two halves; what isn't met again while one fills is forgotten
+
+
+def byte_letters() -> dict[int, int]:
+    """The letter that byte-level vocabularies write for each byte: itself if it is visible, else one from 256 on."""
+    seen = [*range(33, 127), *range(161, 173), *range(174, 256)]
+    hidden = (b for b in range(256) if b not in seen)
+    return {b: b for b in seen} | {b: 256 + k for k, b in enumerate(hidden)}
 
 
 class Subwords:
@@ -30,39 +37,33 @@ class Subwords:
 
         self.tokenizer = Tokenizer.from_file(path)
         self.dtype = np.dtype("<u2") if self.tokenizer.get_vocab_size() <= 1 << 16 else np.dtype("<u4")
+        self.letters = byte_letters()
         self.known: dict[str, bytes] = {}
         self.older: dict[str, bytes] = {}
-        self.line = self.ids("\n")
 
     def ids(self, text: str) -> bytes:
         return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, dtype=self.dtype).tobytes()
 
-    def learn(self, cuts: list[str]) -> None:
-        if len(self.known) > KEPT_CUTS // 2:
-            self.known, self.older = {}, self.known
-        self.known.update((c, self.older[c]) for c in cuts if c in self.older)
-        new = [c for c in cuts if c not in self.older]
-        lines = [c for c in new if "\n" not in c and c.strip(" ")]
-        self.known.update((c, self.ids(c)) for c in new if "\n" in c or not c.strip(" "))
-        if not lines:
-            return
-        groups = ["\n".join(lines[at:at + LINES]) + "\n" for at in range(0, len(lines), LINES)]
-        encoded = self.tokenizer.encode_batch(groups, add_special_tokens=False)
-        found = np.concatenate([np.array(x.ids, dtype=self.dtype) for x in encoded])
-        ends = np.flatnonzero(found == np.frombuffer(self.line, self.dtype)[0])
-        raw, each = found.tobytes(), self.dtype.itemsize
-        starts = np.concatenate([[0], ends[:-1] + 1]) * each
-        self.known.update(zip(lines, (raw[a:b] for a, b in zip(starts.tolist(), (ends * each).tolist()))))
+    def learn(self, cuts: set[str]) -> None:
+        older, known, letters = self.older, self.known, self.letters
+        merge, pack = self.tokenizer.model.tokenize, {2: "<%dH", 4: "<%dI"}[self.dtype.itemsize]
+        for cut in cuts:
+            found = older.get(cut)
+            if found is None:
+                ids = [token.id for token in merge(cut.encode().decode("latin-1").translate(letters))]
+                found = struct.pack(pack % len(ids), *ids)
+            known[cut] = found
 
     def encode_one(self, text: str) -> bytes:
         if "<|" in text or UNUSUAL.search(text):
             return self.ids(text)
         cuts = CUTS.findall(text)
-        found = list(map(self.known.get, cuts))
-        if None in found:
-            self.learn(list({c for c, x in zip(cuts, found) if x is None}))
-            found = [x or self.known[c] for c, x in zip(cuts, found)]
-        return b"".join(found)
+        if new := set(cuts).difference(self.known):
+            if len(self.known) > KEPT_CUTS // 2:
+                self.known, self.older = {}, self.known
+                new = set(cuts)
+            self.learn(new)
+        return b"".join(map(self.known.__getitem__, cuts))
 
     def encode(self, texts: Iterable[str]) -> list[bytes]:
         """Ids of each text, as bytes of ``dtype``."""
