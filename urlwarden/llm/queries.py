@@ -17,6 +17,7 @@ from urlwarden.llm.packing import pack
 from urlwarden.llm.segment import decoded, sample_segmentations
 from urlwarden.llm.simhash import near_copies
 from urlwarden.llm.warc import archived
+from urlwarden.plans.corpora import spread
 
 PIECE_BPE = public_tokenizers.path("piece_bpe_32k.model")
 BYTE_BPE = public_tokenizers.path("byte_bpe_50k.json")
@@ -49,7 +50,7 @@ def op4_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op5_segmentations(spark: SparkSession, sf_dir: str) -> DataFrame:
-    talks = read(spark, sf_dir, "conversations")
+    talks = spread(read(spark, sf_dir, "conversations"))
     found = sample_segmentations(talks, PIECE_BPE, ["conv_id", "turn", "text"])
     back = decoded(F.col("ids"), PIECE_BPE).eqNullSafe(F.regexp_replace(F.coalesce("text", F.lit("")), "\u2581", " "))
     return found.select("conv_id", "turn", "sample", "ids", "log_probability", "inclusion", back.alias("round_trip"))

@@ -30,7 +30,7 @@ SAMPLES = 3
 BLANK = "▁"
 WORDS = re.compile(f"{BLANK}*[^{BLANK}]+|{BLANK}+")
 BYTE_LOG = -12.0  # natural log weight of each byte of a character that no piece has
-KEPT_WORDS = 20_000  # a word's lattice takes some kilobytes
+KEPT_WORDS = 60_000  # a word's lattice takes about two kilobytes
 
 Edges = list[tuple[int, tuple[int, ...], float]]
 
@@ -46,23 +46,30 @@ class Pieces:
         plain = [k for k in range(len(self.texts)) if not (self.model.is_byte(k) or self.model.is_control(k) or self.model.is_unknown(k))]
         self.bytes = {int(self.texts[k][3:5], 16): k for k in range(len(self.texts)) if self.model.is_byte(k)}
         self.values = {k: value for value, k in self.bytes.items()}
-        self.weights = {self.texts[k]: (k, -math.log(2 - self.model.get_score(k))) for k in plain}
-        self.longest = max(map(len, self.weights))
+        # The ids as tuples, one for all lattices that have the piece.
+        self.weights = {self.texts[k]: ((k,), -math.log(2 - self.model.get_score(k))) for k in plain}
+        self.beginnings = {text[:k] for text in self.weights for k in range(1, len(text) + 1)}
         self.known: dict[str, list[Edges]] = {}
 
     def lattice(self, word: str) -> list[Edges]:
         """For each place: where a piece may end, its ids, and the log of its share of what may follow."""
-        size, weights = len(word), self.weights
+        size, weights, beginnings = len(word), self.weights, self.beginnings
         below = [0.0] * (size + 1)  # log of the summed weights of all segmentations from a place on
         out: list[Edges] = [[] for _ in range(size)]
         for at in range(size - 1, -1, -1):
             found = []
-            for end in range(at + 1, min(size, at + self.longest) + 1):
-                if entry := weights.get(word[at:end]):
-                    found.append((end, (entry[0],), entry[1] + below[end]))
+            for end in range(at + 1, size + 1):
+                part = word[at:end]
+                if entry := weights.get(part):
+                    found.append((end, entry[0], entry[1] + below[end]))
                 elif end == at + 1:
-                    raw = word[at].encode("utf-8", "replace")
+                    raw = part.encode("utf-8", "replace")
                     found.append((end, tuple(self.bytes[b] for b in raw), BYTE_LOG * len(raw) + below[end]))
+                if part not in beginnings:
+                    break
+            if len(found) == 1:
+                below[at], out[at] = found[0][2], [(*found[0][:2], 0.0)]
+                continue
             top = max(w for _, _, w in found)
             below[at] = top + math.log(sum(math.exp(w - top) for _, _, w in found))
             out[at] = [(end, ids, w - below[at]) for end, ids, w in found]
