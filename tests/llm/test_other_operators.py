@@ -12,6 +12,8 @@ from html.parser import HTMLParser
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
+import pyarrow.parquet as pq
 import pytest
 from pyspark.sql import functions as F
 
@@ -80,6 +82,30 @@ def test_shards_and_blocks_find_the_same(spark, monkeypatch):
     assert {tuple(r) for r in neighbours.neighbours(vectors, F.col("vec_id") % 3 == 0).collect()} == whole
 
 
+def test_neighbours_recall_with_hundreds_of_lists(spark, tmp_path, monkeypatch):
+    """Vectors without clusters, far more lists than are read at least."""
+    monkeypatch.setattr(neighbours, "LIST_ROWS", 25)
+    points = np.random.default_rng(8).standard_normal((20_000, 64))
+    flat = pa.ListArray.from_arrays(pa.array(np.arange(0, points.size + 1, 64), pa.int32()), pa.array(points.ravel()))
+    pq.write_table(pa.table({"vec_id": pa.array(range(len(points))), "embedding": flat}), tmp_path / "points.parquet")
+    frame = spark.read.parquet(str(tmp_path / "points.parquet"))
+    queries = np.arange(0, len(points), 100)
+    found = collections.defaultdict(set)
+    for r in neighbours.neighbours(frame, F.col("vec_id") % 100 == 0).collect():
+        found[r.query_id].add(r.vec_id)
+    alike = neighbours.unit(points[queries]) @ neighbours.unit(points).T
+    alike[np.arange(len(queries)), queries] = -2
+    want = np.argsort(-alike, axis=1)[:, :5]
+    hits = sum(len(found[int(q)] & set(some.tolist())) for q, some in zip(queries, want))
+    assert hits / want.size >= 0.97
+
+
+def test_neighbours_reads_on_until_there_are_enough(spark):
+    vectors = spark.read.parquet("/root/testdata/sf0.1/embeddings.parquet")
+    few = neighbours.neighbours(vectors, F.col("vec_id") % 70 == 0, count=400, probes=1, ratio=1.0, recall=0.0)
+    assert {r["count"] for r in few.groupBy("query_id").count().collect()} == {400}
+
+
 def test_graph_search_finds_near_centroids():
     points = np.random.default_rng(0).standard_normal((4000, 16))
     index = neighbours.build(points, 300)

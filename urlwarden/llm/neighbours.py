@@ -3,8 +3,11 @@
 Centroids are fitted on a bounded sample with a penalty on long lists. Every
 vector stands in the list of its nearest centroid, and vectors near a boundary in
 others too. Centroids are found by a graph that every task holds; a query reads
-the lists whose centroids are not much farther than the nearest one. Long lists
-are cut into shards and their queries into blocks, so that no task holds a list.
+the lists whose centroids are not much farther than the nearest one. How many and
+how far is measured: some queries are compared with all vectors, and what reaches
+their true neighbours holds for all. Vectors without clusters need a large share
+of the lists, clustered ones few. Long lists are cut into shards and their queries
+into blocks, so that no task holds a list.
 
 Equal vectors have equal neighbours: of each distinct vector the smallest ids
 stand for all in the lists, and equal queries are searched once.
@@ -28,8 +31,10 @@ MOST_LISTS = 4_096  # beyond LIST_ROWS x MOST_LISTS vectors the lists get longer
 ROUNDS = 12
 REPLICAS = 4  # lists that a vector may stand in
 BOUNDARY = 1.12  # a boundary vector's other centroids are at most so many times as far as the nearest
-PROBES = 48  # lists that a query reads at most
-RATIO = 1.35  # and their centroids' distance against the nearest one's
+PROBES = 48  # lists that a query reads at most, unless RECALL takes more
+RATIO = 1.35  # and their centroids' distance against the nearest one's, likewise
+RECALL = 0.99  # share of the trial queries' true neighbours that the lists read must hold
+TRIALS = 400  # queries compared with all vectors
 EDGES = 16
 BEAM = 64
 SHARD = 4_096  # rows of a list in one task
@@ -47,6 +52,13 @@ class Index:
         beam = min(beam, len(self.centroids))
         found = np.empty((len(vectors), beam), np.int64)
         near = np.empty((len(vectors), beam))
+        if beam * EDGES > len(self.centroids):  # the walk would come by most of them
+            for at in range(0, len(vectors), 256):
+                sight = vectors[at:at + 256] @ self.centroids.T
+                best = np.argsort(-sight, axis=1, kind="stable")[:, :beam]
+                found[at:at + 256] = best
+                near[at:at + 256] = np.sqrt(np.maximum(0, 2 - 2 * np.take_along_axis(sight, best, 1)))
+            return found, near
         for at in range(0, len(vectors), 256):
             some = vectors[at:at + 256]
             rows = np.arange(len(some))[:, None]
@@ -108,19 +120,91 @@ def takes_part(vector: str) -> Column:
     return F.expr(f"{vector} IS NOT NULL AND size({vector}) > 0 AND {finite} AND exists({vector}, x -> x <> 0)")
 
 
-def listed(rows: DataFrame, index: Index, width: int, most: int, ratio: float) -> DataFrame:
-    """``rows`` once for each list that the vector's distance ratio allows, with ``list``."""
+def listed(rows: DataFrame, index: Index, width: int, most: int, ratio: float, held: np.ndarray | None = None, least: int = 0) -> DataFrame:
+    """``rows`` once for each list that the vector's distance ratio allows, with ``list`` and ``nth``, 0 for the nearest.
+
+    Of ``held`` vectors, by list, those read come to ``least`` if all lists do.
+    """
     received = sent(rows.sparkSession, index)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            found, near = received().search(unit(matrix(batch.column("vec"), width)))
-            found, near = found[:, :most], near[:, :most]
-            row, place = np.nonzero(near <= near[:, :1] * ratio + 1e-12)
-            kept = batch.take(pa.array(row))
-            yield pa.RecordBatch.from_arrays([*kept.columns, pa.array(found[row, place])], names=[*batch.schema.names, "list"])
+            vectors = unit(matrix(batch.column("vec"), width))
+            found, near = received().search(vectors, max(BEAM, most))
+            allowed = (near <= near[:, :1] * ratio + 1e-12) & (np.arange(found.shape[1]) < most)
+            if held is not None:
+                poor = np.flatnonzero((held[found] * allowed).sum(1) < least)
+                if len(poor):
+                    all_found, all_near = received().search(vectors[poor], len(held))
+                    before = held[all_found].cumsum(1) - held[all_found]
+                    further = (before < least) | ((all_near <= all_near[:, :1] * ratio + 1e-12) & (np.arange(len(held)) < most))
+                    allowed[poor] = False
+                    more_row, more_place = np.nonzero(further)
+                    row, place = np.nonzero(allowed)
+                    lists, nth = np.concatenate([found[row, place], all_found[more_row, more_place]]), np.concatenate([place, more_place])
+                    row = np.concatenate([row, poor[more_row]])
+                    yield filed(batch, row, lists, nth)
+                    continue
+            row, place = np.nonzero(allowed)
+            yield filed(batch, row, found[row, place], place)
+
+    def filed(batch: pa.RecordBatch, row: np.ndarray, lists: np.ndarray, nth: np.ndarray) -> pa.RecordBatch:
+        kept = batch.take(pa.array(row))
+        return pa.RecordBatch.from_arrays([*kept.columns, pa.array(lists), pa.array(nth.astype(np.int32))], names=[*batch.schema.names, "list", "nth"])
+
+    return rows.mapInArrow(run, schema_like(rows, {c: c for c in rows.columns}, [("list", "bigint"), ("nth", "int")]))
+
+
+def true_neighbours(vectors: DataFrame, queries: np.ndarray, width: int, count: int) -> tuple[np.ndarray, np.ndarray]:
+    """Query rows and vectors of the ``count`` best among all ``vectors`` for each of a few queries, themselves left out."""
+    received = sent(vectors.sparkSession, queries)
 
-    return rows.mapInArrow(run, schema_like(rows, {c: c for c in rows.columns}, [("list", "bigint")]))
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        asked = unit(received())
+        best: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []  # query, cosine, vector
+
+        def merged() -> None:
+            q, cosine, vec = (np.concatenate(parts) for parts in zip(*best))
+            order = np.lexsort((-cosine, q))
+            q, cosine, vec = q[order], cosine[order], vec[order]
+            kept = np.arange(len(q)) - np.searchsorted(q, np.arange(len(asked)))[q] < count
+            best[:] = [(q[kept], cosine[kept], vec[kept])]
+
+        for batch in batches:
+            some = matrix(batch.column("vec"), width)
+            alike = asked @ unit(some).T
+            alike[alike > 1 - 1e-12] = -2  # the query's own
+            first = np.argpartition(-alike, min(count, alike.shape[1]) - 1, axis=1)[:, :count]
+            q = np.repeat(np.arange(len(asked)), first.shape[1])
+            best.append((q, alike[q, first.ravel()], some[first.ravel()]))
+            merged()
+        if best:
+            q, cosine, vec = best[0]
+            rows = pa.FixedSizeListArray.from_arrays(pa.array(vec.ravel()), width).cast(pa.list_(pa.float64()))
+            yield pa.RecordBatch.from_arrays([pa.array(q), pa.array(cosine), rows], names=["q", "cosine", "vec"])
+
+    # TRIALS x count rows of each task.
+    some = vectors.select(F.col("vec").cast("array<double>").alias("vec")).mapInArrow(run, "q bigint, cosine double, vec array<double>")
+    place = F.row_number().over(Window.partitionBy("q").orderBy(F.desc("cosine")))
+    some = some.where("cosine > -2").withColumn("place", place).where(F.col("place") <= count).select("q", "vec").toArrow()
+    return some.column(0).to_numpy(), matrix(some.column(1), width)
+
+
+def reach(index: Index, queries: np.ndarray, own: np.ndarray, near: np.ndarray, recall: float) -> tuple[int, float]:
+    """How many lists, and up to which distance ratio, queries must read to meet ``recall`` of their neighbours ``near``."""
+    if not len(own):
+        return 1, 1.0
+    lists = len(index.centroids)
+    order, far = index.search(unit(queries), lists)
+    rank = np.empty_like(order)
+    np.put_along_axis(rank, order, np.arange(lists)[None, :], 1)
+    stand, apart = index.search(unit(near))
+    stand, apart = stand[:, :REPLICAS], apart[:, :REPLICAS]
+    ranks = np.where(apart <= apart[:, :1] * BOUNDARY + 1e-12, rank[own[:, None], stand], lists).min(1)
+    probes = int(np.quantile(ranks, recall, method="higher")) + 1
+    met = ranks < probes
+    ratios = far[own[met], ranks[met]] / np.maximum(far[own[met], 0], 1e-9)
+    return probes, float(ratios.max())
 
 
 def best_pairs(queries: np.ndarray, vectors: np.ndarray, ids: np.ndarray, count: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -148,7 +232,7 @@ def best_pairs(queries: np.ndarray, vectors: np.ndarray, ids: np.ndarray, count:
 
 def neighbours(
     vectors: DataFrame, is_query: Column, count: int = 5, id_col: str = "vec_id", vector_col: str = "embedding",
-    probes: int = PROBES, ratio: float = RATIO,
+    probes: int = PROBES, ratio: float = RATIO, recall: float = RECALL,
 ) -> DataFrame:
     """``query_id, rank, vec_id, score``: the ``count`` nearest found by cosine, ties to the smaller id.
 
@@ -156,6 +240,10 @@ def neighbours(
     another id. Vectors that are null, empty, zero, of another length than most,
     or hold null or non-finite components take no part, nor do null ids. Rows of
     one id and vector count once. An empty table gives no rows.
+
+    A query reads ``probes`` lists within ``ratio``, or as many as hold ``recall`` of
+    the true neighbours of ``TRIALS`` queries if that is more, and further ones until
+    they have ``count`` vectors besides its own.
     """
     rows = vectors.select(F.col(id_col).alias("id"), F.col(vector_col).alias("vec"), F.coalesce(is_query, F.lit(False)).alias("asks"))
     rows = rows.where(F.col("id").isNotNull() & takes_part("vec"))
@@ -177,7 +265,15 @@ def neighbours(
 
     postings = settle(listed(distinct.select("id", "vec"), index, width, REPLICAS, BOUNDARY))
     asked = settle(rows.where("asks").groupBy("k1", "k2").agg(F.first("vec").alias("vec"), F.count("*").alias("n")))
-    reads = settle(listed(asked.drop("n"), index, width, probes, ratio))
+    held = np.zeros(len(index.centroids), np.int64)  # by the nearest list alone, so that no vector counts twice
+    for row in postings.where("nth = 0").groupBy("list").count().collect():
+        held[row["list"]] = row["count"]
+    trials = matrix(asked.orderBy(F.xxhash64("k2", "k1"), "k1").limit(TRIALS).select("vec").toArrow().column(0), width)
+    if lists > 1:
+        own, near = true_neighbours(heads, trials, width, count)
+        wanted = in_one_task(vectors.sparkSession, lambda: reach(index, trials, own, near, recall))
+        probes, ratio = max(probes, wanted[0]), max(ratio, wanted[1])
+    reads = settle(listed(asked.drop("n"), index, width, probes, ratio, held, count + 1))
     # One row per list, MOST_LISTS at most.
     shards = postings.groupBy("list").agg(F.ceil(F.count("*") / SHARD).cast("int").alias("shards"))
     blocks = reads.groupBy("list").agg(F.ceil(F.count("*") / QUERY_BLOCK).cast("int").alias("blocks"))
