@@ -333,6 +333,24 @@ def test_lm_odd_rows(spark, odd_docs, no_docs):
     assert rows_of(lm.lm_scores(no_docs, BYTE_BPE, F.lit(True))) == []
 
 
+def test_lm_scores_do_not_depend_on_the_words_that_travel(spark, sf_dir):
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    few, many = ({r["doc_id"]: r["score"] for r in rows_of(lm.lm_scores(docs, BYTE_BPE, F.col("doc_id") % 7 != 2, top=top))} for top in (10, 200_000))
+    assert few == {k: pytest.approx(v, rel=1e-6) for k, v in many.items()}
+
+
+def test_lm_learns_from_documents_outside_the_sample(spark, monkeypatch):
+    """A model begun on a few windows gets better on all documents by the pass over them."""
+    begun, in_one_task = [], lm.in_one_task
+    monkeypatch.setattr(lm, "in_one_task", lambda *a: begun.append(in_one_task(*a)) or {k: v.copy() for k, v in begun[-1].items()})
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select(F.xxhash64("doc_id").alias("k1"), F.col("text").cast("binary").alias("text"))
+    model, _ = lm.fit(docs, BYTE_BPE, sample_docs=20, windows=400)
+    rows = [lm.coded(model, ids) for ids in lm.ids_of(lm.subwords(BYTE_BPE), [lm.words_of(bytes(r.text)) for r in docs.limit(50).collect()])]
+    before, after = (np.concatenate([x[0] for x in attention.Scorer(p, model.codes, model.opens[model.frequent]).logs(rows)]).mean()
+                     for p in (begun[-1], model.parameters))
+    assert after > before + 0.02
+
+
 @pytest.fixture(scope="module")
 def small_model():
     codes = attention.Codes(6, (3, 4, 2), (False, True, True))
