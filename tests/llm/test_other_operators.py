@@ -232,6 +232,17 @@ def test_html_layout(page, text):
     assert page_text(page) == text
 
 
+@pytest.mark.parametrize("page, text", [
+    ("<table><tr><td>a</td></tr>Note</table>", "Note\na"), ("<table><tr><td>a</td></tr><p>Note</p></table>", "Note\n\na"),
+    ("<table><tbody><div>text</div><tr><td>a</table>", "text\na"), ("<table><thead hidden>no<tr><td>x</thead><tr><td>a</table>", "a"),
+    ("a <svg><title>t</title><rect/><text>in <tspan>image</tspan></text><defs><text>no</text></defs><title/><text>two</text></svg> b", "a in image two b"),
+    ("<math><mi>x</mi><mo>=</mo><mn>1</mn><annotation>no</annotation></math> c", "x=1 c"), ("<svg><path d='M0'><p>out", "out"),
+    ("<div>" * 300 + "a<script>no</script><style>no</style><div hidden><div>no</div>no</div>b", "ab"),
+])
+def test_html_strays_images_and_depth(page, text):
+    assert page_text(page) == text
+
+
 def test_html_odd_rows(spark):
     rows = [(1, None), (1, ""), (None, "<p>x"), (2, "<table>" * 500 + "<td>" * 500 + "x"), (2, html.escape("<b>") * 3)]
     frame = spark.createDataFrame([(k, h, "t") for k, h in rows], "page_id bigint, html string, text string")

@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 
 from urlwarden.llm.common import schema_like
 
-DEEPEST = 200  # elements nested deeper stand beside the innermost, as browsers do
+DEEPEST = 200  # elements nested deeper stand beside the innermost, as browsers do; hidden ones keep as many more
 WIDEST = 60  # a cell longer than this doesn't widen its column
 
 TOKEN = re.compile(
@@ -33,7 +33,16 @@ VOID = frozenset("area base br col embed frame hr img input link meta param sour
 RAW = frozenset("script style xmp iframe noembed noframes textarea title".split())
 DECODED = frozenset("textarea title".split())  # raw, but for character references
 UNSEEN = frozenset(
-    "head script style template noscript title iframe object audio video canvas noembed noframes datalist svg math".split())
+    "head script style template noscript title iframe object audio video canvas noembed noframes datalist "
+    "annotation annotation-xml".split())
+DRAWN = frozenset(("text", "foreignobject"))  # what shows text in an image
+UNDRAWN = frozenset("desc metadata defs symbol clippath mask marker pattern".split())
+FOREIGN = frozenset(("svg", "math"))
+LEAVES_FOREIGN = frozenset(
+    "b big blockquote body br center code dd div dl dt em embed h1 h2 h3 h4 h5 h6 head hr i img li listing menu meta nobr ol p pre ruby s "
+    "small span strong strike sub sup table tt u ul var".split())
+HTML_WITHIN = frozenset("foreignobject desc title annotation-xml mi mo mn ms mtext".split())
+SELF_CLOSED = re.compile(r"(?:^|[\s\"']|(?:^|\s)[^\s=\"']+)/\Z")
 SPACED = frozenset("p h1 h2 h3 h4 h5 h6 ul ol dl table pre blockquote figure hr menu fieldset".split())
 BLOCKS = SPACED | frozenset(
     "html body address article aside center dd details dialog dir div dt figcaption footer form header hgroup legend li main nav "
@@ -95,12 +104,14 @@ class Builder:
         self.open[-1].children.append(element)
         if element.tag not in VOID:
             self.open.append(element)
-            if len(self.open) > DEEPEST:
+            if len(self.open) > DEEPEST and not (len(self.open) <= 2 * DEEPEST and (is_hidden(element) or len(self.open) > DEEPEST + 1)):
                 del self.open[-1]
 
     def start(self, tag: str, attributes: str) -> None:
         if tag == "html":
             return
+        if tag in LEAVES_FOREIGN and (place := self.find(FOREIGN, HTML_WITHIN)):
+            self.close_down_to(place)
         if tag not in HEAD_PARTS and tag != "head" and (head := self.find({"head"})):
             self.close_down_to(head)
         if tag in NOT_IN_P and (place := self.find({"p"}, CELL_WALLS | {"button", "object"})):
@@ -160,11 +171,15 @@ def parse(html: str) -> Element:
         elif found[2]:
             tag = found[2].lower()
             builder.start(tag, found[3])
-            if tag in RAW:
+            own = builder.open[-1]
+            if own.tag == tag and SELF_CLOSED.search(found[3]) and builder.find(FOREIGN, {"foreignobject"}):
+                builder.close_down_to(len(builder.open) - 1)
+            elif tag in RAW:
+                own = own if own.tag == tag else own.children[-1]  # too deep to be open
                 close = re.compile(f"</{tag}(?=[\\s/>])|\\Z", re.IGNORECASE).search(html, at)
                 text = html[at:close.start()]
                 if text:
-                    builder.open[-1].children.append(decoded(text) if tag in DECODED else text)
+                    own.children.append(decoded(text) if tag in DECODED else text)
                 at = close.start()
         elif found[0].startswith("<!--") and not found[0].endswith(("-->", "--!>", "<!--->")):
             at = len(html)  # a comment that nothing ends
@@ -275,6 +290,8 @@ def walk(element: Element, page: Page, verbatim: bool = False) -> None:
             page.block(2)
             table(child, page)
             page.block(2)
+        elif tag == "svg":
+            drawing(child, page)
         elif tag in ("ul", "ol", "menu", "dir"):
             listing(child, page)
         elif tag == "blockquote" or tag == "dd":
@@ -309,6 +326,19 @@ def walk(element: Element, page: Page, verbatim: bool = False) -> None:
                 page.block(gap)
 
 
+def drawing(element: Element, page: Page) -> None:
+    """Text of an image, each piece as words of their own."""
+    for child in element.children:
+        if isinstance(child, str) or child.tag in UNDRAWN or is_hidden(child) or child.attribute("display") == "none":
+            continue
+        if child.tag in DRAWN:
+            page.words(" ")
+            walk(child, page)
+            page.words(" ")
+        else:
+            drawing(child, page)
+
+
 def listing(element: Element, page: Page) -> None:
     gap = 1 if page.indent or page.marker else 2
     page.block(gap)
@@ -349,6 +379,19 @@ def table_rows(element: Element) -> Iterator[Element]:
                 yield from table_rows(child)
 
 
+def strays(element: Element) -> Iterator[Element | str]:
+    """What doesn't belong in a table or its row groups, and captions; browsers show it in front of the rows."""
+    for child in element.children:
+        if isinstance(child, str):
+            if element.tag == "table" or not child.isspace():
+                yield child
+        elif child.tag in GROUPS:
+            if not is_hidden(child):
+                yield from strays(child)
+        elif child.tag not in ("tr", "colgroup", "col") and not is_hidden(child):
+            yield child
+
+
 def rendered(element: Element) -> str:
     page = Page()
     walk(element, page)
@@ -357,10 +400,10 @@ def rendered(element: Element) -> str:
 
 def table(element: Element, page: Page) -> None:
     """Cells side by side, columns padded to their widest cell of up to ``WIDEST``."""
-    for child in element.children:  # captions, and what doesn't belong in a table
+    for child in strays(element):
         if isinstance(child, str):
             page.words(child)
-        elif child.tag not in GROUPS and child.tag not in ("tr", "colgroup", "col") and not is_hidden(child):
+        else:
             page.block(1)
             walk(alone(child), page)
             page.block(1)
