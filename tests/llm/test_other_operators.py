@@ -7,6 +7,7 @@ import itertools
 import math
 import random
 import re
+import tracemalloc
 import zlib
 from html.parser import HTMLParser
 
@@ -161,6 +162,22 @@ def test_segmentations_round_trip(spark, sf_dir):
     assert all(model.decode(list(ids)) == texts[key] for key, some in itertools.islice(by_text.items(), 100) for ids in some)
 
 
+def test_segmentations_of_documents(spark, sf_dir):
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id").distinct().count()
+    rows = rows_of(QUERIES["op5_segmentations_documents"](spark, sf_dir))
+    assert len({r["doc_id"] for r in rows}) == docs and all(0 <= r["inclusion"] <= 1 for r in rows)  # of long texts too small for a double
+    assert sum(r["round_trip"] for r in rows) > 0.9 * len(rows)
+
+
+def test_long_texts_keep_few_alternatives():
+    words = segment.Pieces(PIECE_BPE).lattices("understanding the segmentations " * 2000)
+    tracemalloc.start()
+    found = segment.sampled(words, 4, random.Random(0))
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert len(found) == 4 and peak < 20 * sum(len(ids) for _, _, ids in found) * 8
+
+
 def test_segmentations_odd_rows(spark, odd_docs, no_docs):
     rows = rows_of(segment.sample_segmentations(odd_docs, PIECE_BPE, ["doc_id", "source"]))
     texts = collections.defaultdict(set)

@@ -56,6 +56,12 @@ def op5_segmentations(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("conv_id", "turn", "sample", "ids", "log_probability", "inclusion", back.alias("round_trip"))
 
 
+def op5_segmentations_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = sample_segmentations(read(spark, sf_dir, "documents"), PIECE_BPE, ["doc_id", "text"])
+    back = decoded(F.col("ids"), PIECE_BPE).eqNullSafe(F.regexp_replace(F.coalesce("text", F.lit("")), "\u2581", " "))
+    return found.select("doc_id", "sample", "ids", "log_probability", "inclusion", back.alias("round_trip"))
+
+
 def op6_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     pieces = pack(read(spark, sf_dir, "documents"), BYTE_BPE)
     return pieces.select(
@@ -91,6 +97,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_simhash": op3_simhash,
     "op4_neighbours": op4_neighbours,
     "op5_segmentations": op5_segmentations,
+    "op5_segmentations_documents": op5_segmentations_documents,
     "op6_packing": op6_packing,
     "op7_html_text": op7_html_text,
     "op8_warc": op8_warc,

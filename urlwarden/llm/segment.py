@@ -12,7 +12,7 @@ which are kept from text to text.
 
 from __future__ import annotations
 
-import heapq
+import bisect
 import math
 import random
 import re
@@ -110,11 +110,13 @@ def sampled(words: list[list[Edges]], count: int, draw: random.Random) -> list[t
     """(log probability, noisy log probability, ids) of the ``count`` best by noise, best first; fewer if there are no more."""
     log, exp, log1p, uniform = math.log, math.exp, math.log1p, draw.random
     root = -log(-log(uniform() or 5e-324))
-    heap: list[tuple] = [(-root, 0, 0, 0, 0.0, None)]
+    waiting: list[tuple] = [(-root, 0, 0, 0, 0.0, None)]  # best first, as many as can still be found
     found: list[tuple[float, float, list[int]]] = []
     number = 0
-    while heap and len(found) < count:
-        noisy, _, word, at, total, path = heapq.heappop(heap)
+    while waiting and len(found) < count:
+        noisy, _, word, at, total, path = waiting.pop(0)
+        room = count - len(found) - 1
+        del waiting[room:]
         noisy = -noisy
         while True:
             if word < len(words) and at == len(words[word]):
@@ -135,13 +137,15 @@ def sampled(words: list[list[Edges]], count: int, draw: random.Random) -> list[t
             top = max(draws)
             chosen = draws.index(top)
             for k, (end, ids_, share) in enumerate(edges):
-                if k != chosen:
+                if k != chosen and room:
                     # The draw moved to where it stands if the largest of all is `noisy`.
                     gap = exp(draws[k] - top)
                     under = noisy - draws[k] + (log1p(-gap) if gap < 1 else -math.inf)
                     moved = noisy - max(0.0, under) - (log1p(exp(-abs(under))) if under > -math.inf else 0.0)
                     number += 1
-                    heapq.heappush(heap, (-moved, number, word, end, total + share, (path, ids_)))
+                    if len(waiting) < room or -moved < waiting[-1][0]:
+                        bisect.insort(waiting, (-moved, number, word, end, total + share, (path, ids_)))
+                        del waiting[room:]
             at, ids_, share = edges[chosen]
             total += share
             path = path, ids_
