@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import zlib
 from collections.abc import Callable
 
 import public_tokenizers
@@ -12,8 +13,11 @@ from urlwarden.llm import linededup, quality, spotsigs
 from urlwarden.llm.common import read
 from urlwarden.llm.htmltext import visible_text
 from urlwarden.llm.lm import lm_scores
+from urlwarden.llm.negatives import hard_negatives
 from urlwarden.llm.neighbours import neighbours
 from urlwarden.llm.packing import pack
+from urlwarden.llm.periodic import periodic_runs
+from urlwarden.llm.rangejoin import range_links
 from urlwarden.llm.segment import decoded, sample_segmentations
 from urlwarden.llm.simhash import near_copies
 from urlwarden.llm.warc import archived
@@ -91,6 +95,77 @@ def op10_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scores.select("doc_id", held_out.alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score")
 
 
+def op11_range_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return range_links(read(spark, sf_dir, "embeddings"))
+
+
+def repeated_tail(doc_id: int | None, words: list[str]) -> list[str]:
+    """A tenth of the texts, by their id, end in a stretch repeated over and over."""
+    code = zlib.crc32(str(doc_id).encode()) if doc_id is not None else 1
+    if code % 10 or not words:
+        return words
+    g, n = code // 10, len(words)
+    at = g % n
+    period = 1 + (n - at) // (3 + g % 8)
+    return words[:at] + (words[at:at + period] * (-(-(n - at) // period)))[:n - at]
+
+
+def op12_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = periodic_runs(read(spark, sf_dir, "documents"), change=repeated_tail)
+    # The greatest length; of equal ones the smallest start, then period.
+    best = F.array_max(F.transform("runs", lambda r: F.struct(r["length"].alias("length"), (-r["start"]).alias("early"), (-r["period"]).alias("short"))))
+    lines = F.array_join(F.transform("runs", lambda r: F.concat_ws(",", r["start"], r["length"], r["period"])), "\n")
+    lines = F.when(F.size("runs") > 0, F.concat(lines, F.lit("\n"))).otherwise("")
+    told = found.select("doc_id", "runs", "collapsed", "n_words", best.alias("best"), lines.alias("lines"))
+    length, period = F.col("best.length"), -F.col("best.short")
+    return told.select(
+        "doc_id", F.size("runs").cast("bigint").alias("n_runs"), (-F.col("best.early")).alias("start"), length.alias("length"), period.alias("period"),
+        F.floor(1000 * length / period).cast("bigint").alias("exponent_milli"),
+        F.sha2(F.encode("lines", "utf-8"), 256).alias("runs_sha256"), F.sha2(F.encode("collapsed", "utf-8"), 256).alias("collapsed_sha256"), "n_words")
+
+
+def op13_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = read(spark, sf_dir, "embeddings")
+    moved = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return hard_negatives(rows.withColumn("label", moved), F.col("vec_id") % 50 == 0)
+
+
+VECTORS_SQL = """SELECT * FROM embeddings WHERE vec_id IS NOT NULL AND len(embedding) > 0
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0"""
+
+OP11_SQL = f"""
+WITH RECURSIVE v AS (
+    SELECT vec_id, list_transform(embedding, lambda x: x::DOUBLE) AS e FROM ({VECTORS_SQL})
+    WHERE len(list_filter(embedding, lambda x: x <> 0)) > 0
+), links AS (
+    SELECT a.vec_id AS a, b.vec_id AS b FROM v a JOIN v b ON a.vec_id <> b.vec_id WHERE list_cosine_similarity(a.e, b.e) >= 0.95
+), reached(node, seen) AS (
+    SELECT vec_id, vec_id FROM embeddings UNION SELECT r.node, l.b FROM reached r JOIN links l ON l.a = r.seen
+), least AS (SELECT node, min(seen) AS component_id FROM reached GROUP BY node),
+counts AS (SELECT a, count(*) AS n FROM links GROUP BY a)
+SELECT l.node AS vec_id, coalesce(c.n, 0) AS n_links, l.component_id, l.node = l.component_id AS kept
+FROM least l LEFT JOIN counts c ON c.a = l.node
+"""
+
+OP13_SQL = f"""
+WITH r AS (
+    SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+        list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS e
+    FROM ({VECTORS_SQL}) WHERE label IS NOT NULL
+), scored AS (
+    SELECT a.vec_id AS anchor_id, o.vec_id, a.label = o.label AS same, list_inner_product(a.e, o.e)::BIGINT AS score
+    FROM r a JOIN r o ON a.vec_id <> o.vec_id WHERE a.vec_id % 50 = 0
+), positives AS (
+    SELECT * FROM scored WHERE same QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, vec_id) <= 5
+), windows AS (
+    SELECT p.anchor_id, p.vec_id AS positive_id, n.vec_id AS negative_id, p.score AS positive_score, n.score AS negative_score,
+        row_number() OVER (PARTITION BY p.anchor_id, p.vec_id ORDER BY n.score DESC, n.vec_id) AS rank
+    FROM positives p JOIN scored n ON n.anchor_id = p.anchor_id AND NOT n.same
+        AND 50 * p.score <= 100 * n.score AND 100 * n.score <= 95 * p.score
+)
+SELECT anchor_id, positive_id, rank::INTEGER AS rank, negative_id, positive_score, negative_score FROM windows WHERE rank <= 3
+"""
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_spotsigs": op1_spotsigs,
     "op2_quality": op2_quality,
@@ -103,7 +178,12 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_warc": op8_warc,
     "op9_line_dedup": op9_line_dedup,
     "op10_lm_scoring": op10_lm_scoring,
+    "op11_range_join": op11_range_join,
+    "op12_periodic_runs": op12_periodic_runs,
+    "op13_hard_negatives": op13_hard_negatives,
 }
 SQL: dict[str, str] = {
     "op9_line_dedup": linededup.SQL,
+    "op11_range_join": OP11_SQL,
+    "op13_hard_negatives": OP13_SQL,
 }
