@@ -107,7 +107,7 @@ class Shard:
             order = np.argsort(-bound, kind="stable")
             bounds.append(bound[order].tolist())
             orders.append(order.tolist())
-        (u, v), (first, second), edges = bounds, orders, self.edges
+        (u, v), (first, second), edges = bounds, orders, self.edges.tolist()
         slack = 1e-9 * (abs(u[0]) + abs(v[0]) + np.sqrt((anchor * anchor).sum()) * self.longest) + 1e-9
         heap, pushed = [(-(u[0] + v[0]), 0, 0)], {(0, 0)}
         while heap:
@@ -133,30 +133,37 @@ class Shard:
         """``(score, id)`` of the best other rows of the label."""
         found: list[tuple[int, int]] = []
         for bound, begin, end in self.cells(anchor):
-            if len(found) == count and bound < found[-1][0]:
+            floor = found[-1][0] if len(found) == count else -np.inf
+            if bound < floor:
                 break
-            wanted = np.flatnonzero((self.labels[begin:end] == label) & (self.ids[begin:end] != own_id))
+            score = self.scores(anchor, begin, end)
+            if score.max() < floor:
+                continue
+            wanted = np.flatnonzero((score >= floor) & (self.labels[begin:end] == label) & (self.ids[begin:end] != own_id))
             if len(wanted):
-                score = self.scores(anchor, begin, end)[wanted]
-                found = leading(found + list(zip(map(int, score), self.ids[begin:end][wanted].tolist())), count)
+                found = leading(found + list(zip(map(int, score[wanted]), self.ids[begin:end][wanted].tolist())), count)
         return found
 
     def windows(self, anchor: np.ndarray, label: int, windows: list[tuple[int, int]], count: int) -> list[list[tuple[int, int]]]:
         """For each window of scores (low and high, both in it) ``(score, id)`` of the best rows of other labels."""
         found: list[list[tuple[int, int]]] = [[] for _ in windows]
-        least = min(low for low, _ in windows)
+        floors = [low for low, _ in windows]
         for bound, begin, end in self.cells(anchor):
             # Certified: each window is full of what no cell left can beat, or lies above all of them.
-            if bound < least or all(bound < low or (len(own) == count and bound < own[-1][0]) for own, (low, _) in zip(found, windows)):
+            least = min(floors)
+            if bound < least:
                 break
-            wanted = self.labels[begin:end] != label
             score = self.scores(anchor, begin, end)
-            ids = self.ids[begin:end]
-            for k, (low, high) in enumerate(windows):
-                floor = max(low, found[k][-1][0]) if len(found[k]) == count else low
-                inside = np.flatnonzero(wanted & (score >= floor) & (score <= high))
+            if score.max() < least:
+                continue
+            wanted = (score >= least) & (self.labels[begin:end] != label)
+            score, ids = score[wanted], self.ids[begin:end][wanted]
+            for k, (_, high) in enumerate(windows):
+                inside = np.flatnonzero((score >= floors[k]) & (score <= high))
                 if len(inside):
                     found[k] = leading(found[k] + list(zip(map(int, score[inside]), ids[inside].tolist())), count)
+                    if len(found[k]) == count:
+                        floors[k] = max(floors[k], found[k][-1][0])
         return found
 
 

@@ -34,7 +34,7 @@ LEAST = 0.95
 SAMPLE = 8_192  # distinct vectors that pivots are picked on
 CELL_ROWS = 4_096  # vectors per cell aimed at
 MOST_CELLS = 2_048  # beyond CELL_ROWS x MOST_CELLS vectors the cells get larger
-BLOCK = 4_096  # vectors of a cell in one task, on either side
+BLOCK = 8_192  # vectors of a cell in one task, on either side
 STRIP = 1_024
 CARRIED = ["node", "k1", "n", "vec"]  # a distinct vector: its smallest id, a hash, its weight
 SLACK = 1e-6  # angles and bounds are rounded; cosines are compared as they are
@@ -163,8 +163,8 @@ def compared(left: pa.Table, right: pa.Table, same: bool, least: float, width: i
     return [np.concatenate(both) for both in zip(rows, columns)]
 
 
-def blocks_of(home: DataFrame, guests: DataFrame) -> DataFrame:
-    """``cell, first, second, left`` and a vector: each row once for every pair of blocks that its block is in.
+def blocks_of(home: DataFrame, guests: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """The two sides of every pair of blocks in a cell: ``cell, first, second`` and a vector, as the first and as the second.
 
     The blocks of a cell are numbered: others at home, then the core, then visitors. Every pair of them is
     compared but core with core, which is linked throughout, and visitors with visitors, who meet elsewhere.
@@ -172,20 +172,20 @@ def blocks_of(home: DataFrame, guests: DataFrame) -> DataFrame:
     def count(condition: str):
         return F.ceil(F.count_if(F.expr(condition)) / BLOCK).cast("int")
 
-    rows = home.select("cell", *CARRIED, F.when(F.col("core"), 1).otherwise(0).alias("kind")).unionByName(
-        guests.withColumn("kind", F.lit(2)))
+    rows = home.select("cell", *CARRIED, F.when(F.col("core"), 1).otherwise(0).alias("kind")).unionByName(guests.withColumn("kind", F.lit(2)))
     # One row per cell, MOST_CELLS at most.
     sizes = F.broadcast(rows.groupBy("cell").agg(count("kind = 0").alias("s0"), count("kind = 1").alias("s1"), count("kind = 2").alias("s2")))
     own = F.pmod(F.xxhash64("node"), F.expr("CASE kind WHEN 0 THEN s0 WHEN 1 THEN s1 ELSE s2 END")).cast("int")
     dealt = rows.join(sizes, "cell").withColumn("block", own + F.expr("CASE kind WHEN 0 THEN 0 WHEN 1 THEN s0 ELSE s0 + s1 END"))
-    ends = "CASE kind WHEN 0 THEN struct(block AS a, s0 + s1 + s2 - 1 AS b) WHEN 1 THEN struct(s0 + s1 AS a, s0 + s1 + s2 - 1 AS b) END"
-    begins = "CASE kind WHEN 0 THEN block - 1 WHEN 1 THEN s0 - 1 ELSE s0 + s1 - 1 END"
-    dealt = dealt.withColumns({"ends": F.expr(ends), "begins": F.expr(begins)})
-    as_left = F.expr("CASE WHEN ends.a <= ends.b THEN transform(sequence(ends.a, ends.b), x -> struct(true AS left, block AS first, x AS second)) END")
-    as_right = F.expr("CASE WHEN begins >= 0 THEN transform(sequence(0, begins), x -> struct(false AS left, x AS first, block AS second)) END")
-    none = F.expr("CAST(array() AS array<struct<left:boolean,first:int,second:int>>)")
-    pairs = dealt.select("cell", *CARRIED, F.explode(F.concat(F.coalesce(as_left, none), F.coalesce(as_right, none))).alias("p"))
-    return pairs.select("cell", "p.first", "p.second", "p.left", *CARRIED)
+
+    def side(first: str, second: str, begin: str, end: str, wanted: str) -> DataFrame:
+        some = dealt.where(wanted).withColumns({"a": F.expr(begin), "b": F.expr(end)}).where("a <= b")
+        some = some.withColumn("other", F.explode(F.sequence("a", "b")))
+        # Columns of its own, for the cogroup.
+        return some.select(F.col("cell").alias("cell"), F.col(first).alias("first"), F.col(second).alias("second"), *(F.col(c).alias(c) for c in CARRIED))
+
+    return (side("block", "other", "CASE kind WHEN 0 THEN block ELSE s0 + s1 END", "s0 + s1 + s2 - 1", "kind < 2"),
+            side("other", "block", "0", "CASE kind WHEN 0 THEN block - 1 WHEN 1 THEN s0 - 1 ELSE s0 + s1 - 1 END", "true"))
 
 
 def links_of(nodes: DataFrame, width: int, least: float) -> DataFrame:
@@ -202,10 +202,8 @@ def links_of(nodes: DataFrame, width: int, least: float) -> DataFrame:
         F.coalesce(F.sum(F.when(F.col("core"), F.col("n"))), F.lit(0)).alias("held"))
     for row in stats.collect():  # MOST_CELLS at most
         inner[row["cell"]], outer[row["cell"]] = row["low"], row["high"]
-    parts = blocks_of(home, settle(visitors(home, pivots, inner, outer, width)))
+    left, right = blocks_of(home, settle(visitors(home, pivots, inner, outer, width)))
     keys = ["cell", "first", "second"]
-    left = parts.where("left").drop("left")
-    right = parts.where("NOT left").select(*(F.col(c).alias(c) for c in left.columns))  # columns of its own, for the cogroup
 
     def join(key: tuple, some: pa.Table, others: pa.Table) -> pa.Table:
         same = key[1].as_py() == key[2].as_py()
