@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from dataclasses import dataclass, field
 
-from pyspark import SparkContext
 from pyspark.ml import PipelineModel, Transformer
 from pyspark.ml.classification import GBTClassificationModel, GBTClassifier
 from pyspark.ml.feature import SQLTransformer, VectorAssembler
@@ -13,8 +12,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from urlwarden.functions.vocab import BIGINT_FEATURES, DOUBLE_FEATURES, FEATURE_NAMES
+from urlwarden.operators.boosting import boost, model_of
 from urlwarden.operators.cascade import Scorer
-from urlwarden.operators.curves import best_iteration, learning_curve
 from urlwarden.operators.metrics import binary_metrics, roc_auc
 from urlwarden.operators.splits import stratified_holdout, stratified_kfold
 from urlwarden.session import checkpoint_dir
@@ -32,8 +31,9 @@ ROUNDED = "f32_"  # before the names of columns rounded to 32 bits
 class GbtParams:
     """Settings with a counterpart in Spark ML; the published values unless said
     otherwise. Trees are fitted one after the other, so pass fewer rounds for a
-    quick look. ``early_stopping_rounds`` keeps a model up to its best round on
-    the validation rows, judged as ``best_iteration`` does; 0 keeps all."""
+    quick look. ``early_stopping_rounds`` ends the fitting that many rounds after
+    the best one on the validation rows and keeps the model up to that; 0 fits and
+    keeps all rounds."""
 
     iterations: int = PUBLISHED_PARAMS["iterations"]
     learning_rate: float = PUBLISHED_PARAMS["learning_rate"]
@@ -73,8 +73,12 @@ def feature_array(df: DataFrame) -> DataFrame:
 
 def fit_gbt(frame: DataFrame, params: GbtParams = GbtParams(), validation: str | None = None) -> GBTClassificationModel:
     """Fit on ``features_vector, label``; rows with ``validation`` true only
-    decide where to stop."""
+    decide where to stop. With patience, no round beyond is fitted."""
     checkpoint_dir(frame.sparkSession)
+    if validation and params.early_stopping_rounds and params.min_gain <= 0:
+        return boost(
+            frame, params.iterations, params.learning_rate, params.depth, params.max_bins, params.subsample, params.seed,
+            validation, params.early_stopping_rounds).model
     classifier = GBTClassifier(
         featuresCol="features_vector", labelCol="label", maxIter=params.iterations,
         stepSize=params.learning_rate, maxDepth=params.depth, maxBins=params.max_bins,
@@ -85,27 +89,14 @@ def fit_gbt(frame: DataFrame, params: GbtParams = GbtParams(), validation: str |
         return classifier.fit(frame)
     if params.min_gain > 0:
         return classifier.setValidationIndicatorCol(validation).fit(frame)
-    model = classifier.fit(frame.where(~F.col(validation)))
-    if not params.early_stopping_rounds:
-        return model
-    curve = learning_curve(model, frame.where(F.col(validation)))
-    row = best_iteration(curve.where(F.col("AUC").isNotNull()), params.early_stopping_rounds).first()
-    return truncated(model, row["best_iter"] + 1) if row else model
+    return classifier.fit(frame.where(~F.col(validation)))
 
 
 def truncated(model: GBTClassificationModel, rounds: int) -> GBTClassificationModel:
     """The model after its first ``rounds`` trees."""
-    java = model._java_obj
     if rounds >= model.getNumTrees:
         return model
-    context = SparkContext._active_spark_context
-    trees = context._gateway.new_array(context._jvm.org.apache.spark.ml.regression.DecisionTreeRegressionModel, rounds)
-    weights = context._gateway.new_array(context._jvm.double, rounds)
-    for k in range(rounds):
-        trees[k], weights[k] = java.trees()[k], java.treeWeights()[k]
-    shorter = context._jvm.org.apache.spark.ml.classification.GBTClassificationModel(
-        f"{model.uid}_{rounds}", trees, weights, model.numFeatures, model.numClasses)
-    return GBTClassificationModel(shorter).setFeaturesCol("features_vector")
+    return model_of(model.trees[:rounds], model.treeWeights[:rounds], model.numFeatures, model.uid)
 
 
 def score(df: DataFrame, model: Transformer) -> DataFrame:
