@@ -7,7 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from urlwarden.functions.hosts import parent_domains, with_hostname
-from urlwarden.operators import cascade, curves, explain, ingest, listmatch, metrics, splits
+from urlwarden.operators import cascade, curves, explain, ingest, listmatch, metrics, ranking, splits
 
 
 def domains(spark, *names):
@@ -175,10 +175,10 @@ def test_auc_against_brute_force(spark):
         assert r.auc == pytest.approx(brute([x[:2] for x in rows if x[2] == r.g]), abs=1e-12)
 
 
-@pytest.mark.parametrize("digits", [3, 1, 0])
-def test_splits_match_plain_ranking(spark, monkeypatch, digits):
+@pytest.mark.parametrize("keys", [200_000, 9])
+def test_splits_match_plain_ranking(spark, monkeypatch, keys):
     import hashlib
-    monkeypatch.setattr(splits, "PREFIX_DIGITS", digits)
+    monkeypatch.setattr(ranking, "PIECE_KEYS", keys)
     rows = [(f"u{i}", int(i % 3 == 0)) for i in range(103)]
     df = spark.createDataFrame(rows, "url string, label int").repartition(5)
 
@@ -237,6 +237,52 @@ def test_split_keeps_equal_keys_together(spark):
     assert parts.count() == 0
 
 
+def test_a_hot_key_is_split_among_tasks(spark, monkeypatch):
+    settings = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "64k", "spark.sql.adaptive.advisoryPartitionSizeInBytes": "32k",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1.5",
+    }
+    before = {k: spark.conf.get(k, None) for k in settings}
+    for k, v in settings.items():
+        spark.conf.set(k, v)
+    try:
+        n = 60_000
+        url = F.when(F.col("id") % 3 == 0, "hot").otherwise(F.col("id").cast("string"))
+        df = spark.range(n).select(url.alias("url"), (F.col("id") % 2).alias("label"), F.md5(F.col("id").cast("string")).alias("more")).repartition(16).checkpoint()
+        parts = splits.stratified_holdout(df)
+        assert parts.groupBy("split").count().where("split = 'test'").first()["count"] > 0 and parts.count() == n
+        plan = splits.stratified_holdout(df)
+        plan.write.format("noop").mode("overwrite").save()
+        last = plan.select("url", "split", "more")
+        last.collect()
+        assert "skew=true" in last._jdf.queryExecution().executedPlan().toString()
+    finally:
+        for k, v in before.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+
+
+@pytest.mark.parametrize("keys", [200_000, 13])
+def test_positions_number_the_shuffled_order(spark, monkeypatch, keys):
+    monkeypatch.setattr(ranking, "PIECE_KEYS", keys)
+    rows = [(f"u{i}", i) for i in range(300)] + [("same", k) for k in range(500)] + [(None, 1), (None, 2)]
+    df = spark.createDataFrame(rows, "url string, label int").repartition(7)
+    got = ranking.positions(df).orderBy("position").collect()
+    assert [r.position for r in got] == list(range(len(rows)))
+    assert [r.url for r in got] == [r.url for r in ingest.shuffled(df).collect()]
+    assert sorted((r.label for r in got if r.url == "same")) == list(range(500))
+    assert ranking.positions(df.limit(0)).count() == 0 and ranking.positions(df, seed=43).orderBy("position").first().url is None
+
+
+def test_running_sums_in_pieces(spark, monkeypatch):
+    monkeypatch.setattr(ranking, "PIECE_KEYS", 10)
+    rng = random.Random(1)
+    rows = [(rng.choice("abc"), f"{k:04}", rng.randrange(1, 9)) for k in range(700)]
+    got = {(r.g, r.k): r.before for r in ranking.running(spark.createDataFrame(rows, "g string, k string, n int"), ["g"], ["k"], "n").collect()}
+    assert got == {(g, k): sum(n for h, j, n in rows if h == g and j < k) for g, k, _ in rows}
+    assert ranking.pieces_for(79, 8) == 8 and ranking.pieces_for(1_000_001, 8) == 100_001
+
+
 def test_best_iteration(spark):
     aucs = [0.5, 0.7, 0.6, 0.7, 0.65, 0.9]
     df = spark.createDataFrame([(i, a) for i, a in enumerate(aucs)], "iter int, AUC double")

@@ -118,7 +118,7 @@ def drop_missing(df: DataFrame) -> DataFrame:
 
 
 def shuffled(df: DataFrame, seed: int = 42, key: str = "url") -> DataFrame:
-    """A total order that depends on key and seed only, not on partitioning."""
+    """A total order that depends on key and seed only, not on partitioning; ``ranking.positions`` numbers it."""
     return df.orderBy(F.md5(F.concat(F.col(key), F.lit(f"|{seed}"))), key)
 
 

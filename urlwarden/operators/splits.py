@@ -1,10 +1,10 @@
 """Stratified hold-out and k-fold by exact rank of a keyed hash.
 
 Rows of a class are ordered by ``md5(key|seed)``; every part is a contiguous
-run of ranks. A rank is the number of rows in earlier hash prefixes of the class,
-from one small map-side-combined count, and the place among the rows of the same
-prefix. So a class is ranked by thousands of tasks, however big it is, and any
-number of classes is handled alike; sizes and cuts stay tables.
+run of ranks. Ranks come from counts per class and key (``ranking``), which are
+joined back to the rows. So a class is ranked by as many tasks as it has keys for,
+a key that holds a third of all rows is one count, and any number of classes is
+handled alike; sizes and cuts stay tables.
 
 The input is read twice, so hand over stored or checkpointed data rather than a
 long computation. Rows with equal keys always land in the same part; rows
@@ -13,15 +13,12 @@ without a class land in none.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-PREFIX_DIGITS = 3  # hex digits: a class is ranked in 4,096 pieces
-
-
-def hash_order(key: str, seed: int | str) -> Column:
-    """The sort key of a row: its hash, then the key itself."""
-    return F.concat(F.md5(F.concat(F.col(key), F.lit(f"|{seed}"))), F.col(key))
+from urlwarden.operators.ranking import hash_order, running
 
 
 def class_sizes(df: DataFrame, label: str) -> DataFrame:
@@ -29,17 +26,16 @@ def class_sizes(df: DataFrame, label: str) -> DataFrame:
     return df.where(F.col(label).isNotNull()).groupBy(F.col(label).alias("__y")).agg(F.count("*").alias("n"))
 
 
-def ranked(df: DataFrame, label: str, key: str, seed: int | str) -> tuple[DataFrame, DataFrame]:
-    """``df`` with ``__y, __rank`` (from 1, equal keys share the least; null
-    without a class or key), and ``__y, n``: rows per class."""
-    keyed = df.withColumns({"__y": F.col(label), "__o": hash_order(key, seed)}).withColumn("__p", F.substring("__o", 1, PREFIX_DIGITS))
-    counts = keyed.where("__y IS NOT NULL AND __p IS NOT NULL").groupBy("__y", "__p").agg(F.count("*").alias("__n"))
-    before = Window.partitionBy("__y").orderBy("__p").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = counts.select("__y", "__p", F.coalesce(F.sum("__n").over(before), F.lit(0)).alias("__before"))
-    inside = Window.partitionBy("__y", "__p").orderBy("__o")
-    placed = keyed.join(offsets, ["__y", "__p"], "left").withColumn("__rank", F.col("__before") + F.rank().over(inside))
-    sizes = counts.groupBy("__y").agg(F.sum("__n").alias("n"))
-    return placed, sizes
+def dealt(df: DataFrame, label: str, key: str, seed: int | str, sized: Callable[[DataFrame], DataFrame], part: Column, name: str) -> DataFrame:
+    """``df`` with the column ``name``: ``part``, worked out once for each class and key from its ``rank`` (from 1, equal
+    keys share the least) and what ``sized`` makes of ``__y, n``, the rows per class. Null without a class or key."""
+    keyed = df.withColumns({"__y": F.col(label), "__o": hash_order(key, seed)})
+    counts = keyed.where("__y IS NOT NULL AND __o IS NOT NULL").groupBy("__y", "__o").agg(F.count("*").alias("__n"))
+    ranks = running(counts, ["__y"], ["__o"], "__n").withColumn("rank", F.col("before") + 1).checkpoint()
+    sizes = sized(ranks.groupBy("__y").agg(F.sum("__n").alias("n")))
+    # Stored, so that both sides of the last join are shuffled by it.
+    parts = ranks.join(sizes, "__y").select("__y", "__o", part.alias("__part")).checkpoint()
+    return keyed.join(parts, ["__y", "__o"], "left").select(*df.columns, F.col("__part").alias(name))
 
 
 def holdout_sizes(sizes: DataFrame, test_fraction: float) -> DataFrame:
@@ -67,19 +63,15 @@ def stratified_holdout(
     df: DataFrame, test_fraction: float = 0.2, seed: int | str = 127, label: str = "label", key: str = "url",
 ) -> DataFrame:
     """Add ``split``: ``test`` for the first ranks of each class, else ``train``."""
-    placed, sizes = ranked(df, label, key, seed)
-    joined = placed.join(holdout_sizes(sizes, test_fraction), "__y", "left")
-    split = F.when(F.col("__rank") <= F.col("test"), "test").when(F.col("__rank").isNotNull(), "train")
-    return joined.select(*df.columns, split.alias("split"))
+    part = F.when(F.col("rank") <= F.col("test"), "test").otherwise("train")
+    return dealt(df, label, key, seed, lambda sizes: holdout_sizes(sizes, test_fraction), part, "split")
 
 
 def stratified_kfold(
     df: DataFrame, folds: int = 5, seed: int | str = 127, label: str = "label", key: str = "url",
 ) -> DataFrame:
     """Add ``fold`` 0..folds-1 with balanced classes."""
-    placed, sizes = ranked(df, label, key, seed)
-    joined = placed.join(sizes, "__y", "left")
-    return joined.select(*df.columns, F.when(F.col("__rank").isNotNull(), fold_of(F.col("__rank"), F.col("n"), folds)).alias("fold"))
+    return dealt(df, label, key, seed, lambda sizes: sizes, fold_of(F.col("rank"), F.col("n"), folds), "fold")
 
 
 def split_sizes(df: DataFrame, by: str = "split") -> DataFrame:

@@ -15,7 +15,7 @@ from urlwarden.functions.features import url_features
 from urlwarden.functions.hosts import parent_domains, with_hostname
 from urlwarden.functions.urlparts import top_level_domain, with_url_parts
 from urlwarden.functions.vocab import DOUBLE_FEATURES, FEATURE_NAMES, PHISHING_LABELS
-from urlwarden.operators import cascade, curves, explain, ingest, listmatch, metrics, splits, training
+from urlwarden.operators import cascade, curves, explain, ingest, listmatch, metrics, ranking, splits, training
 from urlwarden.plans import corpora
 from urlwarden.plans.oracle import browser_parts_sql, features_sql, words
 from urlwarden.session import checkpoint_dir, delete, tune
@@ -338,6 +338,44 @@ def kfold_many_classes(spark, sf_dir):
     return splits.stratified_kfold(classed_items(spark, sf_dir))
 
 
+_HOT_URL = "CASE WHEN l_orderkey % 3 = 0 THEN 'http://hot.example.com/' ELSE concat('http://', md5(cast(l_orderkey AS string)), '.example.com/') END"
+_HOT_RANKS = f"""WITH base AS (SELECT l_orderkey, l_linenumber, {_HOT_URL.replace('AS string', 'AS varchar')} AS url,
+CAST(l_returnflag = 'R' AS INTEGER) AS label FROM lineitem),
+ranked AS (SELECT *, rank() OVER (PARTITION BY label ORDER BY md5(url || '|127'), url) AS k FROM base),"""
+
+
+def hot_items(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One row per line item; a third of the orders share one address."""
+    items = corpora.table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", "l_returnflag")
+    rows = corpora.spread(items).select(
+        "l_orderkey", "l_linenumber", F.expr(_HOT_URL).alias("url"), (F.col("l_returnflag") == "R").cast("int").alias("label"))
+    checkpoint_dir(spark)
+    return rows.checkpoint()
+
+
+@register("split_hot_key", f"""{_HOT_RANKS}
+sizes AS (SELECT label, count(*) AS n, sum(count(*)) OVER () AS total FROM base GROUP BY label),
+shares AS (SELECT label, n, total - CAST(ceil(0.2::DOUBLE * total) AS BIGINT) AS train, total FROM sizes),
+floors AS (SELECT *, (n * train) // total AS q, (n * train) % total AS rem FROM shares),
+tests AS (SELECT label, n - q - CASE WHEN row_number() OVER (ORDER BY rem DESC, label) <= train - sum(q) OVER () THEN 1 ELSE 0 END AS test FROM floors)
+SELECT l_orderkey, l_linenumber, CASE WHEN k <= test THEN 'test' ELSE 'train' END AS split FROM ranked JOIN tests USING (label)""")
+def split_hot_key(spark, sf_dir):
+    return splits.stratified_holdout(hot_items(spark, sf_dir)).select("l_orderkey", "l_linenumber", "split")
+
+
+@register("kfold_hot_key", f"""{_HOT_RANKS} counted AS (SELECT *, k - 1 AS r0, count(*) OVER (PARTITION BY label) AS n FROM ranked)
+SELECT l_orderkey, l_linenumber, CAST(CASE WHEN r0 < (n % 5) * (n // 5 + 1) THEN r0 // (n // 5 + 1)
+ELSE n % 5 + (r0 - (n % 5) * (n // 5 + 1)) // greatest(n // 5, 1) END AS INTEGER) AS fold FROM counted""")
+def kfold_hot_key(spark, sf_dir):
+    return splits.stratified_kfold(hot_items(spark, sf_dir)).select("l_orderkey", "l_linenumber", "fold")
+
+
+@register("shuffle_positions", f"""WITH {_NORMALISED_SQL} SELECT row_number() OVER (ORDER BY md5(url || '|42'), url) - 1 AS position, url, label FROM merged""")
+def shuffle_positions(spark, sf_dir):
+    """The merged corpus in its shuffled order, numbered."""
+    return ranking.positions(merged(spark, sf_dir))
+
+
 # ------------------------------------------------------------------ metrics
 
 _SCORED_NAMES = tuple(dict.fromkeys((
