@@ -5,9 +5,10 @@ be small it is broadcast once and probed a fixed number of times per row: by
 host, by www-less host, and by the last k labels for every label count k that
 occurs in the safe list. That covers all parent domains without exploding
 rows and without moving them. A bigger table takes the shuffled way: distinct
-hosts, joined with it, and the few hits joined back. The right side of either
-join is stored, so both sides are shuffled by the join itself and Spark can split
-a hot host's rows among tasks.
+hosts, joined with it, and the few hits joined back. A Bloom filter of the table,
+measured before it is broadcast, goes first: rows whose host has no name that may
+be listed are not shuffled at all. The right side of either join is stored, so both
+sides are shuffled by the join itself and Spark can split a hot host's rows among tasks.
 """
 
 from __future__ import annotations
@@ -19,6 +20,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from urlwarden.functions.hosts import last_labels, parent_domains, strip_www
+from urlwarden.operators.prefilter import Prefilter, build, maybe_any
 from urlwarden.session import checkpoint_dir
 
 IN_WHITELIST, IN_SAFE, IN_BLACKLIST = 1, 2, 4
@@ -33,6 +35,7 @@ class DomainLists:
     table: DataFrame                   # domain, mask
     small: bool                        # measured to fit a broadcast
     suffix_lengths: tuple[int, ...]    # label counts (2 or more) in the safe list
+    prefilter: Prefilter | None = None  # of a table that is not small
 
 
 def domain_table(whitelist: DataFrame, safe: DataFrame, blacklist: DataFrame) -> DataFrame:
@@ -61,7 +64,7 @@ def prepare_lists(
     lengths = tuple(sorted(stats["lengths"]))
     probes_cover = len(lengths) <= MAX_SUFFIX_PROBES and LABEL_COUNT_CEILING not in lengths
     small = stats["rows"] <= max_rows and stats["bytes"] <= max_bytes and probes_cover
-    return DomainLists(table, small, lengths)
+    return DomainLists(table, small, lengths, None if small else build(table, "domain", stats["rows"]))
 
 
 def _bit(mask: Column, bit: int) -> Column:
@@ -80,16 +83,29 @@ def _probe_masks(df: DataFrame, lists: DomainLists, host: str) -> tuple[DataFram
     return df, exact, anywhere
 
 
+def _names(host: Column) -> Column:
+    """What a host may be listed as: ``domain, exact``."""
+    return F.concat(
+        F.transform(F.array_distinct(F.array(host, strip_www(host))), lambda d: F.struct(d.alias("domain"), F.lit(True).alias("exact"))),
+        F.transform(parent_domains(host), lambda d: F.struct(d.alias("domain"), F.lit(False).alias("exact"))))
+
+
+def may_be_listed(df: DataFrame, lists: DomainLists, host: str) -> DataFrame:
+    """``df`` with ``__maybe``: false only where no name of the host is on a list."""
+    if lists.prefilter is None:
+        return df.withColumn("__maybe", F.col(host).isNotNull())
+    return maybe_any(df, lists.prefilter, F.transform(_names(F.col(host)), lambda n: n["domain"]), "__maybe")
+
+
 def _shuffled_masks(df: DataFrame, lists: DomainLists, host: str) -> tuple[DataFrame, Column, Column]:
-    hosts = df.select(F.col(host).alias("__host")).where(F.col("__host").isNotNull()).distinct()
-    name = F.col("__host")
-    candidates = hosts.select(
-        "__host",
-        F.explode(F.concat(
-            F.transform(F.array_distinct(F.array(name, strip_www(name))), lambda d: F.struct(d.alias("domain"), F.lit(True).alias("exact"))),
-            F.transform(parent_domains(name), lambda d: F.struct(d.alias("domain"), F.lit(False).alias("exact"))),
-        )).alias("c"),
-    ).select("__host", "c.domain", "c.exact")
+    nothing = F.lit(None).cast("int")
+    asked, rest = df, None
+    if not df.isStreaming:
+        marked = may_be_listed(df, lists, host)
+        asked = marked.where("__maybe").drop("__maybe")
+        rest = marked.where("NOT __maybe").drop("__maybe").withColumns({"__exact": nothing, "__any": nothing})
+    hosts = asked.select(F.col(host).alias("__host")).where(F.col("__host").isNotNull()).distinct()
+    candidates = hosts.select("__host", F.explode(_names(F.col("__host"))).alias("c")).select("__host", "c.domain", "c.exact")
     hits = (
         candidates.join(lists.table, "domain")
         .groupBy("__host")
@@ -99,10 +115,10 @@ def _shuffled_masks(df: DataFrame, lists: DomainLists, host: str) -> tuple[DataF
         )
         .withColumnRenamed("__host", host)
     )
-    if not df.isStreaming:
+    if rest is not None:
         hits = hits.checkpoint()
-    joined = df.join(hits, host, "left").select(*df.columns, "__exact", "__any")
-    return joined, F.col("__exact"), F.col("__any")
+    joined = asked.join(hits, host, "left").select(*df.columns, "__exact", "__any")
+    return joined if rest is None else joined.unionByName(rest), F.col("__exact"), F.col("__any")
 
 
 def with_list_flags(df: DataFrame, lists: DomainLists, host: str = "hostname") -> DataFrame:

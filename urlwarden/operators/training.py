@@ -15,6 +15,7 @@ from urlwarden.functions.vocab import BIGINT_FEATURES, DOUBLE_FEATURES, FEATURE_
 from urlwarden.operators.boosting import boost, model_of
 from urlwarden.operators.cascade import Scorer
 from urlwarden.operators.metrics import binary_metrics, roc_auc
+from urlwarden.operators.scaling import SCALED, moments, scaler
 from urlwarden.operators.splits import stratified_holdout, stratified_kfold
 from urlwarden.session import checkpoint_dir
 
@@ -50,19 +51,24 @@ def as_float32(df: DataFrame) -> DataFrame:
     return df.withColumns({n: F.col(n).cast("float") for n in sorted(DOUBLE_FEATURES | BIGINT_FEATURES)})
 
 
-def feature_stages() -> list[Transformer]:
+def feature_stages(scaling: DataFrame | None = None) -> list[Transformer]:
     """Pipeline stages that add ``features_vector`` in contract order, at 32-bit
-    precision. Rounded columns go beside the given ones, which stay as they are."""
+    precision. Rounded columns go beside the given ones, which stay as they are.
+    With the ``moments`` of the features, a stage scales them by these; without,
+    the vector holds the features themselves."""
     wide = sorted(DOUBLE_FEATURES | BIGINT_FEATURES)
     rounded = ", ".join(f"CAST({n} AS FLOAT) AS {ROUNDED}{n}" for n in wide)
-    inputs = [ROUNDED + n if n in wide else n for n in FEATURE_NAMES]
-    assembler = VectorAssembler(inputCols=inputs, outputCol="features_vector", handleInvalid="keep")
-    return [SQLTransformer(statement=f"SELECT *, {rounded} FROM __THIS__"), assembler]
+    inputs = {n: ROUNDED + n if n in wide else n for n in FEATURE_NAMES}
+    stages: list[Transformer] = [SQLTransformer(statement=f"SELECT *, {rounded} FROM __THIS__")]
+    if scaling is not None:
+        stages.append(scaler(scaling, inputs))
+        inputs = {n: SCALED + n for n in FEATURE_NAMES}
+    return [*stages, VectorAssembler(inputCols=list(inputs.values()), outputCol="features_vector", handleInvalid="keep")]
 
 
-def feature_vector(df: DataFrame) -> DataFrame:
-    """Add ``features_vector`` in contract order, at 32-bit precision."""
-    return PipelineModel(feature_stages()).transform(df).select(*df.columns, "features_vector")
+def feature_vector(df: DataFrame, scaling: DataFrame | None = None) -> DataFrame:
+    """Add ``features_vector`` in contract order, at 32-bit precision, scaled by moments if they are given."""
+    return PipelineModel(feature_stages(scaling)).transform(df).select(*df.columns, "features_vector")
 
 
 def feature_array(df: DataFrame) -> DataFrame:
@@ -175,15 +181,17 @@ class TrainingRun:
 
 
 def train(features: DataFrame, params: GbtParams = GbtParams(), folds: int = FOLDS,
-          test_fraction: float = TEST_FRACTION, seed: int = SEED) -> TrainingRun:
+          test_fraction: float = TEST_FRACTION, seed: int = SEED, scale: bool = False) -> TrainingRun:
     """Split, k-fold, choose, evaluate. ``features``: url, label, 73 columns.
+    ``scale`` fits a scaler on them, which becomes a stage of the model.
 
     The vectors are checkpointed once: every fold reads them again, and a lost
     executor must not mean extracting features anew.
     """
     checkpoint_dir(features.sparkSession)
     usable = features.where(F.col(FEATURE_NAMES[0]).isNotNull())
-    vectors = feature_vector(usable).select("url", F.col("label").cast("int").alias("label"), "features_vector").checkpoint()
+    scaling = moments(usable, FEATURE_NAMES).checkpoint() if scale else None
+    vectors = feature_vector(usable, scaling).select("url", F.col("label").cast("int").alias("label"), "features_vector").checkpoint()
     parts = stratified_holdout(vectors, test_fraction, seed)
     training = stratified_kfold(parts.where(F.col("split") == "train"), folds, f"{seed}|fold")
     chosen = kfold_train(training, params, folds)
@@ -192,5 +200,5 @@ def train(features: DataFrame, params: GbtParams = GbtParams(), folds: int = FOL
     metrics = {k: float(row[k]) for k in ("accuracy", "precision", "recall", "f1_score")}
     metrics["roc_auc"] = roc_auc(holdout, "label", "probability_phishing").first()["auc"]
     sizes = {r["split"]: r["count"] for r in parts.groupBy("split").count().collect()}
-    model = PipelineModel([*feature_stages(), chosen.best_model])
+    model = PipelineModel([*feature_stages(scaling), chosen.best_model])
     return TrainingRun(model, chosen, metrics, sizes.get("train", 0), sizes.get("test", 0), holdout, params)

@@ -67,3 +67,17 @@ def delete(spark: SparkSession, path: str, at_end: bool = False) -> None:
         system.deleteOnExit(target)
     else:
         system.delete(target, True)
+
+
+def move(spark: SparkSession, source: str, target: str, overwrite: bool = False) -> None:
+    """One rename on whatever file system the paths are on."""
+    jvm, gateway = spark.sparkContext._jvm, spark.sparkContext._gateway
+    kind = jvm.org.apache.hadoop.fs.Options.Rename
+    options = gateway.new_array(kind, 1)
+    options[0] = kind.OVERWRITE if overwrite else kind.NONE
+    path = jvm.org.apache.hadoop.fs.Path(source)
+    files = jvm.org.apache.hadoop.fs.FileContext.getFileContext(
+        path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).getUri(), spark.sparkContext._jsc.hadoopConfiguration())
+    goal = jvm.org.apache.hadoop.fs.Path(target)
+    files.mkdir(goal.getParent(), None, True)
+    files.rename(path, goal, options)

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from urlwarden.functions.hosts import with_hostname
 from urlwarden.functions.vocab import CSV_MISSING, PREFERRED_FILES
+from urlwarden.sources import records
 
 OUTER_SPACE = r"(?U)\A[\s\x1c-\x1f]+|[\s\x1c-\x1f]+\z"
 
@@ -15,17 +16,19 @@ def trimmed(text: Column) -> Column:
     return F.regexp_replace(text, OUTER_SPACE, "")
 
 
-def read_labelled(spark: SparkSession, path: str, fmt: str | None = None, multiline: bool = True) -> DataFrame:
+def read_labelled(spark: SparkSession, path: str, fmt: str | None = None, multiline: bool = True, in_ranges: bool = False) -> DataFrame:
     """CSV, Parquet or JSON by extension; text columns stay strings.
 
     Blank cells and the usual marks for a missing value are null in text columns
     of any format. ``multiline`` allows line breaks inside quoted CSV cells and
-    JSON written as one array, at one task per file, however big it is; switch it
-    off for files of one record per line, which are then read in pieces, or read
-    once through ``as_parquet``.
+    JSON written as one array, at one task per file; switch it off for files of one
+    record per line. ``in_ranges`` reads large files of either kind by many tasks,
+    which find the records' ends first (``records``); all columns are text then.
     """
     fmt = fmt or path.rstrip("/").rsplit(".", 1)[-1].lower()
-    if fmt == "csv":
+    if in_ranges and fmt in ("csv", "json"):
+        raw = (records.read_csv if fmt == "csv" else records.read_json)(spark, path)
+    elif fmt == "csv":
         raw = spark.read.csv(path, header=True, quote='"', escape='"', multiLine=multiline)
     elif fmt == "parquet":
         raw = spark.read.parquet(path)
@@ -88,10 +91,8 @@ def read_url_list(spark: SparkSession, path: str, column: str = "url") -> DataFr
 
 
 def read_safe_domains(spark: SparkSession, path: str) -> DataFrame:
-    """A JSON array of domains per file. A file is one cell, so a list beyond
-    some hundred megabytes belongs in several files, which are read side by side."""
-    text = spark.read.text(path, wholetext=True)
-    return text.select(F.explode(F.from_json("value", "array<string>")).alias("domain")).distinct()
+    """A JSON array of domains per file, read in byte ranges."""
+    return records.json_strings(spark, path).select(F.col("value").alias("domain")).distinct()
 
 
 def blocked_domains(lines: DataFrame, column: str = "value") -> DataFrame:

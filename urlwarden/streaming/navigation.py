@@ -1,8 +1,8 @@
 """Verdicts, counters and list changes over streams of page loads.
 
 The functions take a streaming or a plain frame alike. Domain lists are
-prepared before a query starts; a list that changes is re-read per micro-batch
-by ``run_with_changing_whitelist``, so a change shows one batch later.
+prepared before a query starts; a list that changes is a versioned table
+(``liststate``), brought up to date per micro-batch by ``run_with_changing_whitelist``.
 """
 
 from __future__ import annotations
@@ -17,7 +17,8 @@ from urlwarden.functions.hosts import strip_www, with_hostname
 from urlwarden.operators.cascade import Scorer, verdict_cascade
 from urlwarden.operators.listmatch import DomainLists, prepare_lists
 from urlwarden.operators.metrics import session_counters
-from urlwarden.session import checkpoint_dir, delete
+from urlwarden.session import delete
+from urlwarden.streaming.liststate import ListState, last_changes
 
 EVENT_SCHEMA = "tab_id bigint, status string, url string, ts timestamp"
 OPS_SCHEMA = "seq bigint, op string, value string"
@@ -80,43 +81,45 @@ def whitelist_state(ops: DataFrame) -> DataFrame:
     return listed(last_changes(whitelist_changes(ops)))
 
 
-def last_changes(changes: DataFrame) -> DataFrame:
-    """``domain, seq, added``: each domain's last change. Of a boolean and a number,
-    so that it stays a hash aggregate."""
-    added = F.col("op") == "add" if "op" in changes.columns else F.col("added")
-    return changes.groupBy("domain").agg(F.max("seq").alias("seq"), F.max_by(added, "seq").alias("added"))
-
-
 def listed(state: DataFrame) -> DataFrame:
     return state.where("added").select("domain")
 
 
 def run_with_changing_whitelist(
     events: DataFrame, read_ops: Callable[[], DataFrame], safe: DataFrame, blacklist: DataFrame,
-    sink: Callable[[DataFrame, int], None], checkpoint: str, scorer: Scorer | None = None, **trigger,
+    sink: Callable[[DataFrame, int], None], checkpoint: str, scorer: Scorer | None = None, state: ListState | None = None, **trigger,
 ) -> StreamingQuery:
     """Per micro-batch: apply the changes since the last one, judge, hand to ``sink``.
 
-    The state is each domain's last change, checkpointed; only changes of a higher
-    ``seq`` than it has seen are read again, and without one the prepared lists
-    stay. A restarted query reads all changes once.
+    The list is a table with a version per batch that changed it (``state``, beside the checkpoint unless given), so a
+    restarted query goes on from the last version, and a repeated batch from the version before it. Only
+    changes of a higher ``seq`` than the version has seen are read; without one the prepared lists stay.
     """
-    kept: dict = {"state": None, "seen": None, "lists": None}
+    kept = state or ListState(events.sparkSession, f"{checkpoint.rstrip('/')}-list")
+    prepared: dict = {}  # the lists of the version in use
 
     def judge(batch: DataFrame, batch_id: int) -> None:
-        ops = read_ops()
-        fresh = ops if kept["seen"] is None else ops.where(F.col("seq") > kept["seen"])
-        newest = fresh.agg(F.max("seq")).first()[0]
-        if kept["lists"] is None or newest is not None:
-            checkpoint_dir(batch.sparkSession)
-            changes = last_changes(whitelist_changes(fresh))
-            state = changes if kept["state"] is None else last_changes(kept["state"].unionByName(changes))
-            kept["state"] = state.checkpoint()
-            kept["seen"] = newest if newest is not None else kept["seen"]
-            kept["lists"] = prepare_lists(listed(kept["state"]), safe, blacklist)
-        sink(stream_verdicts(batch, kept["lists"], scorer), batch_id)
+        base = kept.before(batch_id)
+        seen = kept.seen(base)
+        fresh = read_ops() if seen is None else read_ops().where(F.col("seq") > seen)
+        version = kept.advance(batch_id, whitelist_changes(fresh))
+        if version not in prepared:
+            prepared.clear()
+            prepared[version] = prepare_lists(listed(kept.read(version)), safe, blacklist)
+        sink(stream_verdicts(batch, prepared[version], scorer), batch_id)
 
     return (
         events.writeStream.foreachBatch(judge).option("checkpointLocation", checkpoint)
         .trigger(**(trigger or {"availableNow": True})).start()
     )
+
+
+def keep_whitelist(ops: DataFrame, state: ListState, checkpoint: str, **trigger) -> StreamingQuery:
+    """Apply a stream of changes to the list, batch by batch, in whatever order they come."""
+    def apply(batch: DataFrame, batch_id: int) -> None:
+        state.advance(batch_id, whitelist_changes(batch))
+
+    return (
+        ops.writeStream.foreachBatch(apply).option("checkpointLocation", checkpoint)
+        .trigger(**(trigger or {"availableNow": True})).start()
+    )
