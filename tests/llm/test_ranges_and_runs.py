@@ -224,3 +224,23 @@ def test_hard_negatives_odd_rows(spark):
     a, b, c = (np.array([int(256 * x) for x in v], object) for _, v, _ in large)
     assert [tuple(r)[4:] for r in negatives.hard_negatives(rows_of(spark, large), F.col("vec_id") % 5 == 0).collect()] == [
         (min(int(a @ b), 2**63 - 1), min(int(a @ c), 2**63 - 1))]
+
+
+def test_line_dedup_is_linear_in_the_lines(spark):
+    """A book of 100,000 lines, most of them shared, as one document."""
+    import time
+
+    from urlwarden.llm.linededup import without_shared_lines
+
+    lines = [f"shared line {k}" for k in range(100_000)]
+    docs = [(0, "first\n" + "\n".join(lines), "s0")] + [(k, "\n".join(lines[k::6]), f"s{k}") for k in range(1, 6)] + [
+        (9, "\n".join([*lines[:90_000], "own line", *lines[90_000:]]), "s9")] + [(k, None, None) for k in range(10, 40)]
+    frame = spark.createDataFrame(docs, "doc_id bigint, text string, source string")
+    started = time.perf_counter()
+    got = {r["doc_id"]: r for r in without_shared_lines(frame, min_sites=3).collect()}
+    assert time.perf_counter() - started < 40
+    assert len(got) == len(docs) and got[0]["n_removed"] == 0 and got[20]["text"] is None
+    stays = [line for k, line in enumerate(lines) if k % 6 == 0]  # only two sites have these
+    kept = {*stays, "own line"}
+    assert got[9]["text"].split("\n") == [x for x in [*lines[:90_000], "own line", *lines[90_000:]] if x in kept]
+    assert got[9]["n_lines"] == 100_001 and got[9]["n_removed"] == 100_000 - len(stays)

@@ -8,7 +8,7 @@ comes first and goes everywhere else. DataFrame functions only.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from urlwarden.llm.common import document_key, settle
@@ -21,9 +21,10 @@ EDGES = " \t\r"  # ignored at both ends of a line when lines are compared
 
 def line_rows(docs: DataFrame, id_col: str, text_col: str, site_col: str) -> DataFrame:
     """``h1, h2, site, at`` of every line that isn't blank; ``at`` is its place, ordered by id."""
-    split = docs.select(
-        F.col(id_col).alias("id"), F.col(site_col).alias("site"), *document_key(id_col, text_col),
-        F.posexplode(F.split(F.col(text_col).cast("string"), "\n", -1)).alias("pos", "line"))
+    # The keys first: what stands beside a generator is worked out for every line.
+    keyed = docs.select(
+        F.col(id_col).alias("id"), F.col(site_col).alias("site"), *document_key(id_col, text_col), F.col(text_col).cast("string").alias("text"))
+    split = keyed.select("id", "site", "k1", "k2", F.posexplode(F.split("text", "\n", -1)).alias("pos", "line"))
     line = F.trim("line", F.lit(EDGES))
     return split.where(line != "").select(
         F.xxhash64(line).alias("h1"), F.hash(line).alias("h2"), "site", F.struct("id", "k1", "k2", "pos").alias("at"))
@@ -61,12 +62,18 @@ def without_shared_lines(
     """
     columns = [c for c in docs.columns if c not in ("n_lines", "n_removed")]
     gone = removals(line_rows(docs, id_col, text_col, site_col), min_sites)
-    gone = gone.groupBy("k1", "k2").agg(F.collect_set("pos").alias("gone"))
+    # Stored, so that both sides of the join are shuffled by it and Spark may split rows of one key, such as those without a text.
+    gone = settle(gone.groupBy("k1", "k2").agg(F.collect_set("pos").alias("gone")))
     packed = docs.select(F.struct(*columns).alias("doc"), *document_key(id_col, text_col))
     joined = packed.join(gone, ["k1", "k2"], "left")
+
+    def rest(lines: Column) -> Column:
+        """The lines that stay. ``lines`` is bound once: a text is split once, however many lines it has."""
+        places = F.array_except(F.sequence(F.lit(0), F.size(lines) - 1), F.col("gone"))
+        return F.array_join(F.transform(places, lambda i: F.get(lines, i)), "\n")
+
     lines = F.split(joined.doc[text_col].cast("string"), "\n", -1)
-    rest = F.array_except(F.sequence(F.lit(0), F.size(lines) - 1), "gone")
-    text = F.when(F.col("gone").isNull(), F.col("doc")[text_col]).otherwise(F.array_join(F.transform(rest, lambda i: F.get(lines, i)), "\n"))
+    text = F.when(F.col("gone").isNull(), F.col("doc")[text_col]).otherwise(F.get(F.transform(F.array(lines), rest), F.lit(0)))
     return joined.select(
         *(text.alias(c) if c == text_col else F.col("doc")[c].alias(c) for c in columns),
         F.when(F.col("doc")[text_col].isNull(), 0).otherwise(F.size(lines)).cast("bigint").alias("n_lines"),
