@@ -1,6 +1,7 @@
 """Fingerprints, line removal, SimHash, packing and pipeline against brute force."""
 
 import collections
+import random
 import hashlib
 import re
 import zlib
@@ -15,7 +16,7 @@ from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 import corpus_pipeline
-from urlwarden.llm import linededup, quality, simhash, spotsigs
+from urlwarden.llm import linededup, quality, simhash, spotsigs, subwords
 from urlwarden.llm.components import components
 from urlwarden.llm.packing import pack, sequences
 from urlwarden.llm.queries import BYTE_BPE, QUERIES, SQL
@@ -196,10 +197,25 @@ def test_words_encode_like_whole_texts(documents):
         "日本 a", "a\tb\r\nc", "é" * 5 + " à1", "don't I'm you're", "a　b   c", "x\xa0 y  \x85z", "²³ ½ ª º µ", " " * 3000 + "x"]
     want = [np.array(e.ids, encoder.dtype).tobytes() for e in plain.encode_batch(texts, add_special_tokens=False)]
     assert encoder.encode(texts) == want
-    encoder.known.clear()
+    encoder.forget()
     assert encoder.encode(reversed(texts)) == want[::-1]
 
 
+def test_cuts_of_odd_texts(monkeypatch):
+    """Contractions, blanks and line ends in any order; long texts in parts; cuts forgotten and learned again."""
+    encoder, plain, rng = Subwords(BYTE_BPE), Tokenizer.from_file(BYTE_BPE), random.Random(2)
+    bits = ["a", "b", " ", "  ", "\n", "\n\n", "'", "'s", "'re", "'ll", "'ve", "'x", "3", "42", "!", "?!", "é", "×", "÷", "ß", "À", "don't", " it's", "''s", "\"", "-", "t's"]
+    texts = ["".join(rng.choice(bits) for _ in range(rng.randrange(40))) for _ in range(1500)]
+    want = [np.array(e.ids, encoder.dtype).tobytes() for e in plain.encode_batch(texts, add_special_tokens=False)]
+    assert encoder.encode(texts) == want
+    monkeypatch.setattr(subwords, "GROUP", 70)
+    monkeypatch.setattr(subwords, "KEPT_CUTS", 50)
+    long = " ".join(texts)
+    assert len(list(subwords.parts(long))) > 100
+    assert encoder.encode([long, *texts]) == [np.array(plain.encode(long, add_special_tokens=False).ids, encoder.dtype).tobytes(), *want]
+    assert encoder.encode([]) == []
+
+
 def check_pieces(docs, pieces):
     plain = Tokenizer.from_file(BYTE_BPE)
     texts = sorted((r["doc_id"] is None, r["doc_id"] or 0, r["text"] or "") for r in rows_of(docs))

@@ -1,27 +1,38 @@
-"""Ids of a byte-level BPE vocabulary, by `tokenizers`, with each word encoded once.
+"""Ids of a byte-level BPE vocabulary, by `tokenizers`, with each word merged once.
 
 The vocabulary's pattern cuts a text before any merge, and equal cuts have equal
-ids. Texts of plain characters are cut here by the same pattern, a dictionary of
-cuts saves most of the merging, and the vocabulary's merges are applied to the
-rest. Texts with other characters are encoded whole.
+ids. Texts of plain characters, one byte each, are cut here by the same pattern,
+many texts at once: classes of bytes give the cuts, a hash of each cut its number
+among the distinct ones, and only cuts that are new are merged. Texts with other
+characters are encoded whole.
 """
 
 from __future__ import annotations
 
 import os
 import re
-import struct
-from collections.abc import Iterable
+from collections.abc import Iterable, Iterator
+from itertools import repeat
 
 import numpy as np
+import pyarrow as pa
 
 from urlwarden.llm.common import worker_store
 
-LETTERS = "A-Za-zÀ-ÖØ-öø-ÿ"
-# The vocabulary's pattern, for texts without a character that UNUSUAL finds.
-CUTS = re.compile(f"'(?:[stmd]|re|ve|ll)| ?[{LETTERS}]+| ?[0-9]+| ?[^ \\n0-9{LETTERS}]+|[ \\n]+(?![^ \\n])|[ \\n]+")
 UNUSUAL = re.compile("[^\\n -~À-ÿ]")  # "<|" may open a special token; such texts are unusual too
-KEPT_CUTS = 250_000  # in two halves; what isn't met again while one fills is forgotten
+KEPT_CUTS = 1_000_000  # in a worker, some 150 MB; beyond, all are forgotten
+GROUP = 2_000_000  # characters cut at once
+SAFE = re.compile("(?<=[^ \\n]) (?=[^ \\n])")  # a cut begins at such a blank, whatever stands around it
+LETTER, DIGIT, OTHER, BLANK = 1, 2, 3, 4  # classes of bytes; 0 ends a text
+
+
+def classes() -> np.ndarray:
+    out = np.full(256, OTHER, np.uint8)
+    out[[c for c in range(256) if chr(c).isalpha() and (c < 128 or c >= 192)]] = LETTER
+    out[48:58] = DIGIT
+    out[[10, 32]] = BLANK
+    out[0] = 0
+    return out
 
 
 def byte_letters() -> dict[int, int]:
@@ -31,6 +42,40 @@ def byte_letters() -> dict[int, int]:
     return {b: b for b in seen} | {b: 256 + k for k, b in enumerate(hidden)}
 
 
+CLASS = classes()
+BASE = 0x9E3779B97F4A7C15  # odd, so that it has an inverse
+SALT = np.random.default_rng(1).integers(1, 1 << 63, 256, dtype=np.uint64)
+
+
+def powers(base: int, count: int) -> np.ndarray:
+    """Modulo 2**64."""
+    out = np.full(count, base, np.uint64)
+    out[:1] = 1
+    return np.multiply.accumulate(out)
+
+
+def cut_starts(data: np.ndarray) -> np.ndarray:
+    """Where the vocabulary's pattern begins a cut in texts that each end in a zero byte: contractions; letters, digits or
+    others with one blank before them; blanks and line ends, the last of which stays apart from what follows. Ends count too."""
+    kind = CLASS[data]
+    starts = np.empty(len(data), bool)
+    starts[0] = True
+    np.not_equal(kind[1:], kind[:-1], out=starts[1:])
+    starts[data == 0] = True
+    after = np.flatnonzero(starts[1:] & (kind[:-1] == BLANK) & (kind[1:] != 0)) + 1
+    starts[after - 1] = True
+    starts[after[data[after - 1] == 32]] = False
+    marks = np.flatnonzero((data == 39) & starts)
+    if len(marks):
+        one, two = data[np.minimum(marks + 1, len(data) - 1)], data[np.minimum(marks + 2, len(data) - 1)]
+        short = np.isin(one, np.frombuffer(b"stmd", np.uint8))
+        long = ((one == 114) | (one == 118)) & (two == 101) | (one == 108) & (two == 108)  # re, ve, ll
+        starts[marks[short | long] + 1] = False
+        starts[marks[short] + 2] = True
+        starts[marks[long] + 3] = True
+    return np.flatnonzero(starts)
+
+
 class Subwords:
     def __init__(self, path: str):
         from tokenizers import Tokenizer
@@ -38,36 +83,104 @@ class Subwords:
         self.tokenizer = Tokenizer.from_file(path)
         self.dtype = np.dtype("<u2") if self.tokenizer.get_vocab_size() <= 1 << 16 else np.dtype("<u4")
         self.letters = byte_letters()
-        self.known: dict[str, bytes] = {}
-        self.older: dict[str, bytes] = {}
+        self.power, self.back = powers(BASE, 1), powers(1, 1)
+        self.forget()
+
+    def forget(self) -> None:
+        self.numbers: dict[int, int] = {}  # of the hash of a cut
+        self.begins, self.sizes, self.pool = np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, self.dtype)
 
     def ids(self, text: str) -> bytes:
         return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, dtype=self.dtype).tobytes()
 
-    def learn(self, cuts: set[str]) -> None:
-        older, known, letters = self.older, self.known, self.letters
-        merge, pack = self.tokenizer.model.tokenize, {2: "<%dH", 4: "<%dI"}[self.dtype.itemsize]
-        for cut in cuts:
-            found = older.get(cut)
-            if found is None:
-                ids = [token.id for token in merge(cut.encode().decode("latin-1").translate(letters))]
-                found = struct.pack(pack % len(ids), *ids)
-            known[cut] = found
-
-    def encode_one(self, text: str) -> bytes:
-        if "<|" in text or UNUSUAL.search(text):
-            return self.ids(text)
-        cuts = CUTS.findall(text)
-        if new := set(cuts).difference(self.known):
-            if len(self.known) > KEPT_CUTS // 2:
-                self.known, self.older = {}, self.known
-                new = set(cuts)
-            self.learn(new)
-        return b"".join(map(self.known.__getitem__, cuts))
+    def learn(self, hashes: list[int], cuts: list[bytes]) -> None:
+        merge, letters = self.tokenizer.model.tokenize, self.letters
+        found = [[token.id for token in merge(cut.decode("latin-1").encode().decode("latin-1").translate(letters))] for cut in cuts]
+        self.numbers.update(zip(hashes, range(len(self.numbers), len(self.numbers) + len(hashes))))
+        sizes = np.fromiter(map(len, found), np.int64, len(found))
+        self.begins = np.concatenate([self.begins, len(self.pool) + sizes.cumsum() - sizes])
+        self.sizes = np.concatenate([self.sizes, sizes])
+        self.pool = np.concatenate([self.pool, np.fromiter((x for ids in found for x in ids), self.dtype, int(sizes.sum()))])
+
+    def hashed(self, data: np.ndarray, starts: np.ndarray) -> np.ndarray:
+        """A hash of each cut: its bytes' salts as the digits of a number, modulo 2**64, scrambled."""
+        if len(self.power) <= len(data):
+            self.power, self.back = powers(BASE, len(data) + 1), powers(pow(BASE, -1, 1 << 64), len(data) + 1)
+        sums = np.zeros(len(data) + 1, np.uint64)
+        np.cumsum(SALT[data] * self.power[:len(data)], out=sums[1:])
+        ends = np.append(starts[1:], len(data))
+        out = (sums[ends] - sums[starts]) * self.back[starts]
+        out ^= out >> np.uint64(31)
+        out *= np.uint64(0xBF58476D1CE4E5B9)
+        return out ^ (out >> np.uint64(29))
+
+    def encode_group(self, texts: list[bytes]) -> list[bytes]:
+        """Ids of plain texts."""
+        data = np.frombuffer(b"\0".join(texts) + b"\0", np.uint8)
+        starts = cut_starts(data)
+        ends_text = data[starts] == 0
+        coded = pa.array(self.hashed(data, starts)).dictionary_encode()
+        place = coded.indices.to_numpy()
+        distinct = coded.dictionary.to_pylist()
+        first = np.empty(len(distinct), np.int64)
+        first[place[::-1]] = np.arange(len(place) - 1, -1, -1)
+        if len(self.numbers) > KEPT_CUTS:
+            self.forget()
+        number = np.fromiter(map(self.numbers.get, distinct, repeat(-1)), np.int64, len(distinct))
+        new = np.flatnonzero(number < 0)
+        if len(new):
+            number[new] = np.arange(len(self.numbers), len(self.numbers) + len(new))
+            raw, ends = data.tobytes(), np.append(starts[1:], len(data))
+            at = first[new]
+            self.learn([distinct[k] for k in new], [raw[s:e].rstrip(b"\0") for s, e in zip(starts[at].tolist(), ends[at].tolist())])
+        which = number[place]
+        sizes = np.where(ends_text, 0, self.sizes[which])
+        total = sizes.cumsum()
+        ids = self.pool[np.repeat(self.begins[which] - (total - sizes), sizes) + np.arange(int(total[-1]))].tobytes()
+        bounds = np.concatenate([[0], total[ends_text]]) * self.dtype.itemsize
+        return [ids[a:b] for a, b in zip(bounds[:-1].tolist(), bounds[1:].tolist())]
 
     def encode(self, texts: Iterable[str]) -> list[bytes]:
         """Ids of each text, as bytes of ``dtype``."""
-        return [self.encode_one(text) for text in texts]
+        out: list[list[bytes]] = []
+        held: list[bytes] = []
+        owner: list[int] = []
+        size = 0
+
+        def flush() -> None:
+            nonlocal size
+            if held:
+                for k, ids in zip(owner, self.encode_group(held)):
+                    out[k].append(ids)
+            held.clear()
+            owner.clear()
+            size = 0
+
+        for k, text in enumerate(texts):
+            out.append([])
+            if "<|" in text or UNUSUAL.search(text):
+                out[k].append(self.ids(text))
+                continue
+            for part in parts(text):
+                if size and size + len(part) > GROUP:
+                    flush()
+                held.append(part.encode("latin-1"))
+                owner.append(k)
+                size += len(part)
+        flush()
+        return [ids[0] if len(ids) == 1 else b"".join(ids) for ids in out]
+
+
+def parts(text: str) -> Iterator[str]:
+    """A text in parts of some ``GROUP`` characters, each beginning where a cut does."""
+    at = 0
+    while len(text) - at > GROUP:
+        found = SAFE.search(text, at + GROUP)
+        if not found:
+            break
+        yield text[at:found.start()]
+        at = found.start()
+    yield text[at:]
 
 
 def subwords(path: str) -> Subwords:
