@@ -244,3 +244,23 @@ def test_line_dedup_is_linear_in_the_lines(spark):
     kept = {*stays, "own line"}
     assert got[9]["text"].split("\n") == [x for x in [*lines[:90_000], "own line", *lines[90_000:]] if x in kept]
     assert got[9]["n_lines"] == 100_001 and got[9]["n_removed"] == 100_000 - len(stays)
+
+
+def test_pivot_tables_discard_pairs_before_and_after_sorting():
+    from urlwarden.llm import simhash
+
+    rng = np.random.default_rng(8)
+    prints = rng.integers(0, 1 << 63, (40, 200), dtype=np.uint64) | (rng.integers(0, 2, (40, 200), dtype=np.uint64) << np.uint64(63))
+    prints[:, 1] = prints[:, 0] ^ np.uint64(1 << 5)
+    prints[:, 3] = prints[:, 2] ^ np.uint64((1 << 63) | 1)
+    pivots = simhash.references()
+    first = np.sort(np.bitwise_count(prints ^ pivots[0]).astype(int), axis=1)
+    paired = sum((first[:, lag:] - first[:, :-lag] <= 2).sum() for lag in range(1, 200))
+    order = np.argsort(np.bitwise_count(prints ^ pivots[0]), axis=1, kind="stable")
+    rows = np.take_along_axis(prints, order, 1)
+    left = sum(len(b) for b, _, _ in simhash.survivors(np.bitwise_count(rows[..., None] ^ pivots).astype(np.int8), 2))
+    every = 40 * 200 * 199 // 2
+    assert paired < every / 2 and left < every / 2000  # the sort alone halves them, the table leaves next to none
+    found = set(map(frozenset, zip(*map(np.ndarray.tolist, simhash.links_of(prints, pivots, 2)))))
+    want = {frozenset((int(a), int(b))) for row in prints for i, a in enumerate(row) for b in row[i + 1:] if (int(a) ^ int(b)).bit_count() <= 2}
+    assert found == want and len(want) >= 80

@@ -4,7 +4,9 @@ Distances to reference fingerprints differ by no more than the distance of two
 fingerprints does. So a pair is discarded by the largest difference between its
 rows of the distance table, and only survivors are compared bit by bit.
 
-The tables are compared within buckets. Of ``k + 2`` blocks of bits, ``k`` bits
+The tables are compared within buckets, whose members are sorted by their distance to the
+first reference: only those within ``k`` bits by it are paired, so most pairs are
+discarded before they are looked at, and the other references discard most of the rest. Of ``k + 2`` blocks of bits, ``k`` bits
 can't spoil more than ``k``, so a linked pair agrees in two blocks at least: each
 distinct fingerprint goes into one bucket for every two blocks. A bucket of more
 than ``CROWD`` fingerprints is dealt out again by its remaining bits, in the same
@@ -113,21 +115,38 @@ def forest(size: int, pairs: Iterator[tuple[int, int]]) -> list[tuple[int, int]]
     return kept
 
 
+def survivors(near: np.ndarray, max_bits: int) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    """``bucket, a, b``: pairs that no pivot discards. ``near`` is buckets x members x pivots, members by rising distance
+    to the first pivot: only those within ``max_bits`` by it are paired at all, at growing lags until none is left."""
+    members = near.shape[1]
+    for lag in range(1, members):
+        bucket, a = np.nonzero(near[:, lag:, 0] - near[:, :members - lag, 0] <= max_bits)
+        if not len(bucket):
+            return
+        for pivot in range(1, near.shape[2]):
+            kept = np.abs(near[bucket, a + lag, pivot] - near[bucket, a, pivot]) <= max_bits
+            bucket, a = bucket[kept], a[kept]
+        yield bucket, a, a + lag
+
+
 def links_of(prints: np.ndarray, pivots: np.ndarray, max_bits: int) -> tuple[np.ndarray, np.ndarray]:
     """Links within each row of ``prints`` (buckets x members): a forest of each."""
-    first, second = np.triu_indices(prints.shape[1], 1)
-    table = np.bitwise_count(prints[..., None] ^ pivots).astype(np.int8)
-    lefts, rights = [], []
-    step = max(1, 200_000 // len(first))
+    members = prints.shape[1]
+    lefts, rights = [np.empty(0, np.uint64)], [np.empty(0, np.uint64)]
+    step = max(1, 200_000 // members)
     for at in range(0, len(prints), step):
-        rows, near = prints[at:at + step], table[at:at + step]
-        bucket, pair = np.nonzero(np.abs(near[:, first] - near[:, second]).max(2) <= max_bits)
-        a, b = first[pair], second[pair]
+        rows = prints[at:at + step]
+        order = np.argsort(np.bitwise_count(rows ^ pivots[0]), axis=1, kind="stable")
+        rows = np.take_along_axis(rows, order, 1)
+        table = np.bitwise_count(rows[..., None] ^ pivots).astype(np.int8)
+        bucket, a, b = (np.concatenate(part) for part in zip(*survivors(table, max_bits), (np.empty(0, np.int64),) * 3))
         true = np.bitwise_count(rows[bucket, a] ^ rows[bucket, b]) <= max_bits
         bucket, a, b = bucket[true], a[true], b[true]
-        if prints.shape[1] > 2 and len(bucket):
+        if members > 2 and len(bucket):
+            order = np.argsort(bucket, kind="stable")
+            bucket, a, b = bucket[order], a[order], b[order]
             cuts = np.flatnonzero(np.diff(bucket)) + 1
-            trees = [(own[0], forest(prints.shape[1], zip(x.tolist(), y.tolist())))
+            trees = [(own[0], forest(members, zip(x.tolist(), y.tolist())))
                      for own, x, y in zip(np.split(bucket, cuts), np.split(a, cuts), np.split(b, cuts))]
             bucket = np.array([k for k, tree in trees for _ in tree], np.int64)
             a, b = (np.array([edge[side] for _, tree in trees for edge in tree], np.int64) for side in (0, 1))
