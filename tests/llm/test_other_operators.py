@@ -116,6 +116,20 @@ def test_graph_search_finds_near_centroids():
     assert (found[:, 0] == best).mean() > 0.97 and (np.diff(near, axis=1) >= -1e-12).all()
 
 
+def test_graph_search_comes_by_a_part_of_the_centroids():
+    random = np.random.default_rng(1)
+    points = np.repeat(random.standard_normal((60, 16)), 100, 0) + 0.3 * random.standard_normal((6000, 16))
+    index = neighbours.build(points, 3000)
+    queries = neighbours.unit(points[::60])
+    sight = index.walk(queries, 64)
+    assert 64 <= np.isfinite(sight).sum(1).min() and np.isfinite(sight).mean() < 0.4
+    true = queries @ index.centroids.T
+    assert np.allclose(sight[np.isfinite(sight)], true[np.isfinite(sight)])
+    found, want = index.search(queries)[0][:, :20], np.argsort(-true, axis=1)[:, :20]
+    assert np.mean([len({*a} & {*b}) for a, b in zip(found.tolist(), want.tolist())]) / 20 > 0.95
+    assert np.isfinite(index.walk(queries[:20], 3000)).mean() > 0.99  # a beam of all lists goes wherever the graph leads
+
+
 # ---------------------------------------------------------------- segmentations
 
 def all_segmentations(words):

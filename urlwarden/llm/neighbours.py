@@ -37,6 +37,8 @@ RECALL = 0.99  # share of the trial queries' true neighbours that the lists read
 TRIALS = 400  # queries compared with all vectors
 EDGES = 16
 BEAM = 64
+STEP = 8  # centroids that a walk goes on from at a time, at least
+PAIRS = 50_000  # cosines of a walk worked out at once
 SHARD = 4_096  # rows of a list in one task
 QUERY_BLOCK = 2_048
 
@@ -47,39 +49,41 @@ class Index:
     edges: np.ndarray  # centroids near each centroid
     entries: np.ndarray  # where a search begins
 
+    def walk(self, vectors: np.ndarray, beam: int) -> np.ndarray:
+        """Cosines of unit vectors to the centroids that a walk comes by, minus infinity to the others. From the entries it goes on
+        from the ``beam`` best known centroids to those beside them until all of the best have been left that way."""
+        lists = len(self.centroids)
+        sight = np.full((len(vectors), lists), -np.inf)
+        sight[:, self.entries] = vectors @ self.centroids[self.entries].T
+        left = np.zeros(sight.shape, bool)
+        while True:
+            best = np.argpartition(-sight, beam - 1, axis=1)[:, :beam] if beam < lists else np.broadcast_to(np.arange(lists), sight.shape)
+            open_ones = np.where(np.take_along_axis(left, best, 1), -np.inf, np.take_along_axis(sight, best, 1))
+            step = max(STEP, beam // 8)
+            if step < beam:  # the best of those not left yet
+                some = np.argpartition(-open_ones, step - 1, axis=1)[:, :step]
+                best, open_ones = np.take_along_axis(best, some, 1), np.take_along_axis(open_ones, some, 1)
+            row, place = np.nonzero(np.isfinite(open_ones))
+            if not len(row):
+                return sight
+            from_here = best[row, place]
+            left[row, from_here] = True
+            beside = np.zeros(sight.shape, bool)
+            beside[row[:, None], self.edges[from_here]] = True
+            row, new = np.nonzero(beside & np.isinf(sight))
+            for at in range(0, len(row), PAIRS):
+                r, c = row[at:at + PAIRS], new[at:at + PAIRS]
+                sight[r, c] = np.einsum("ij,ij->i", vectors[r], self.centroids[c])
+
     def search(self, vectors: np.ndarray, beam: int = BEAM) -> tuple[np.ndarray, np.ndarray]:
-        """Nearest centroids, nearest first, and distances, for each unit vector: a beam walks the graph until it stands still."""
+        """Nearest centroids found, nearest first, and distances, for each unit vector. What the walk did not come by is infinitely far."""
         beam = min(beam, len(self.centroids))
-        found = np.empty((len(vectors), beam), np.int64)
-        near = np.empty((len(vectors), beam))
-        if beam * EDGES > len(self.centroids):  # the walk would come by most of them
-            for at in range(0, len(vectors), 256):
-                sight = vectors[at:at + 256] @ self.centroids.T
-                best = np.argsort(-sight, axis=1, kind="stable")[:, :beam]
-                found[at:at + 256] = best
-                near[at:at + 256] = np.sqrt(np.maximum(0, 2 - 2 * np.take_along_axis(sight, best, 1)))
-            return found, near
+        found, near = np.empty((len(vectors), beam), np.int64), np.empty((len(vectors), beam))
         for at in range(0, len(vectors), 256):
-            some = vectors[at:at + 256]
-            rows = np.arange(len(some))[:, None]
-            sight = np.full((len(some), len(self.centroids)), -np.inf)
-            sight[:, self.entries] = some @ self.centroids[self.entries].T
+            sight = self.walk(vectors[at:at + 256], beam)
             best = np.argsort(-sight, axis=1, kind="stable")[:, :beam]
-            while True:
-                new = np.unique(np.concatenate([best, self.edges[best].reshape(len(some), -1)], axis=1).ravel())
-                new = new[np.isinf(sight[:, new]).any(0)]
-                if len(new):
-                    wanted = np.zeros_like(sight, bool)
-                    wanted[rows, self.edges[best].reshape(len(some), -1)] = True
-                    wanted[rows, best] = True
-                    part = some @ self.centroids[new].T
-                    sight[:, new] = np.where(wanted[:, new], part, sight[:, new])
-                after = np.argsort(-sight, axis=1, kind="stable")[:, :beam]
-                if (after == best).all():
-                    break
-                best = after
             found[at:at + 256] = best
-            near[at:at + 256] = np.sqrt(np.maximum(0, 2 - 2 * sight[rows, best]))
+            near[at:at + 256] = np.sqrt(np.maximum(0, 2 - 2 * np.take_along_axis(sight, best, 1)))
         return found, near
 
 
