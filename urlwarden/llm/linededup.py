@@ -63,7 +63,7 @@ def without_shared_lines(
     columns = [c for c in docs.columns if c not in ("n_lines", "n_removed")]
     gone = removals(line_rows(docs, id_col, text_col, site_col), min_sites)
     # Stored, so that both sides of the join are shuffled by it and Spark may split rows of one key, such as those without a text.
-    gone = settle(gone.groupBy("k1", "k2").agg(F.collect_set("pos").alias("gone")))
+    gone = settle(gone.groupBy("k1", "k2").agg(F.collect_set("pos").alias("gone"))).hint("merge")
     packed = docs.select(F.struct(*columns).alias("doc"), *document_key(id_col, text_col))
     joined = packed.join(gone, ["k1", "k2"], "left")
 

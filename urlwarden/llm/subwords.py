@@ -12,7 +12,6 @@ from __future__ import annotations
 import os
 import re
 from collections.abc import Iterable, Iterator
-from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
@@ -20,7 +19,7 @@ import pyarrow as pa
 from urlwarden.llm.common import worker_store
 
 UNUSUAL = re.compile("[^\\n -~À-ÿ]")  # "<|" may open a special token; such texts are unusual too
-KEPT_CUTS = 1_000_000  # in a worker, some 150 MB; beyond, all are forgotten
+KEPT_CUTS = 1_000_000  # in a worker, some 25 MB; beyond, all are forgotten
 GROUP = 2_000_000  # characters cut at once
 SAFE = re.compile("(?<=[^ \\n]) (?=[^ \\n])")  # a cut begins at such a blank, whatever stands around it
 LETTER, DIGIT, OTHER, BLANK = 1, 2, 3, 4  # classes of bytes; 0 ends a text
@@ -87,20 +86,32 @@ class Subwords:
         self.forget()
 
     def forget(self) -> None:
-        self.numbers: dict[int, int] = {}  # of the hash of a cut
-        self.begins, self.sizes, self.pool = np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, self.dtype)
+        """What is known: hashes of cuts in order, where the ids of each begin in the pool, and how many there are."""
+        self.keys, self.begins, self.sizes = np.zeros(0, np.uint64), np.zeros(0, np.int32), np.zeros(0, np.int32)
+        self.pool = np.zeros(0, self.dtype)
 
     def ids(self, text: str) -> bytes:
         return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, dtype=self.dtype).tobytes()
 
-    def learn(self, hashes: list[int], cuts: list[bytes]) -> None:
+    def learn(self, hashes: np.ndarray, cuts: list[bytes]) -> None:
         merge, letters = self.tokenizer.model.tokenize, self.letters
         found = [[token.id for token in merge(cut.decode("latin-1").encode().decode("latin-1").translate(letters))] for cut in cuts]
-        self.numbers.update(zip(hashes, range(len(self.numbers), len(self.numbers) + len(hashes))))
-        sizes = np.fromiter(map(len, found), np.int64, len(found))
-        self.begins = np.concatenate([self.begins, len(self.pool) + sizes.cumsum() - sizes])
-        self.sizes = np.concatenate([self.sizes, sizes])
+        sizes = np.fromiter(map(len, found), np.int32, len(found))
+        begins = (len(self.pool) + sizes.cumsum() - sizes).astype(np.int32)
         self.pool = np.concatenate([self.pool, np.fromiter((x for ids in found for x in ids), self.dtype, int(sizes.sum()))])
+        order = np.argsort(hashes)
+        keys = np.concatenate([self.keys, hashes[order]])
+        merged = np.argsort(keys, kind="stable")  # of two rising parts
+        self.keys = keys[merged]
+        self.begins = np.concatenate([self.begins, begins[order]])[merged]
+        self.sizes = np.concatenate([self.sizes, sizes[order]])[merged]
+
+    def places(self, hashes: np.ndarray) -> np.ndarray:
+        """Where known hashes stand, -1 for others."""
+        if not len(self.keys):
+            return np.full(len(hashes), -1)
+        at = np.minimum(np.searchsorted(self.keys, hashes), len(self.keys) - 1)
+        return np.where(self.keys[at] == hashes, at, -1)
 
     def hashed(self, data: np.ndarray, starts: np.ndarray) -> np.ndarray:
         """A hash of each cut: its bytes' salts as the digits of a number, modulo 2**64, scrambled."""
@@ -121,21 +132,18 @@ class Subwords:
         ends_text = data[starts] == 0
         coded = pa.array(self.hashed(data, starts)).dictionary_encode()
         place = coded.indices.to_numpy()
-        distinct = coded.dictionary.to_pylist()
-        first = np.empty(len(distinct), np.int64)
-        first[place[::-1]] = np.arange(len(place) - 1, -1, -1)
-        if len(self.numbers) > KEPT_CUTS:
+        distinct = coded.dictionary.to_numpy()
+        if len(self.keys) > KEPT_CUTS:
             self.forget()
-        number = np.fromiter(map(self.numbers.get, distinct, repeat(-1)), np.int64, len(distinct))
-        new = np.flatnonzero(number < 0)
+        new = np.flatnonzero(self.places(distinct) < 0)
         if len(new):
-            number[new] = np.arange(len(self.numbers), len(self.numbers) + len(new))
-            raw, ends = data.tobytes(), np.append(starts[1:], len(data))
-            at = first[new]
-            self.learn([distinct[k] for k in new], [raw[s:e].rstrip(b"\0") for s, e in zip(starts[at].tolist(), ends[at].tolist())])
-        which = number[place]
+            first = np.empty(len(distinct), np.int64)
+            first[place[::-1]] = np.arange(len(place) - 1, -1, -1)
+            raw, ends, at = data.tobytes(), np.append(starts[1:], len(data)), first[new]
+            self.learn(distinct[new], [raw[s:e].rstrip(b"\0") for s, e in zip(starts[at].tolist(), ends[at].tolist())])
+        which = self.places(distinct)[place]
         sizes = np.where(ends_text, 0, self.sizes[which])
-        total = sizes.cumsum()
+        total = sizes.cumsum(dtype=np.int64)
         ids = self.pool[np.repeat(self.begins[which] - (total - sizes), sizes) + np.arange(int(total[-1]))].tobytes()
         bounds = np.concatenate([[0], total[ends_text]]) * self.dtype.itemsize
         return [ids[a:b] for a, b in zip(bounds[:-1].tolist(), bounds[1:].tolist())]
