@@ -308,3 +308,52 @@ def test_pipeline_stages(spark, sf_dir, documents, tmp_path):
     groups = components_of({r["doc_id"]: print_of(r["text"]) for r in seen["line_dedup"]})
     assert {r["doc_id"] for r in seen["simhash"]} == set(groups.values())
     assert {r["doc_id"] for r in seen["packing"]} == set(groups.values())
+
+
+def linked_sets(docs, members, links, anchors, least):
+    """Pairs of ids whose sets are near, by brute force and by the join; equal sets by their classes."""
+    marks = {r["doc_id"]: set(r["signatures"]) for r in docs.select("doc_id", spotsigs.signatures(F.col("text"), anchors).alias("signatures")).collect()}
+    want = {(a, b) for a in marks for b in marks if a < b and len(marks[a] & marks[b]) >= least * len(marks[a] | marks[b]) - 1e-9}
+    by_class = {}
+    for r in members.collect():
+        by_class.setdefault(r["class"], []).append(r["doc_id"])
+    found = [(r["class_a"], r["class_b"]) for r in links.collect()]
+    assert len(found) == len(set(map(frozenset, found)))
+    got = {(a, b) for a, b in ((min(x, y), max(x, y)) for k, m in found for x in by_class[k] for y in by_class[m])}
+    return want, got | {(a, b) for ids in by_class.values() for a in ids for b in ids if a < b}
+
+
+@pytest.mark.parametrize("least,crowd", [(0.8, 512), (0.5, 2), (0.8, 3)])
+def test_near_sets_against_brute_force(spark, least, crowd):
+    """Near copies of texts of no language; words of each kind; crowded signatures split into blocks."""
+    draw = random.Random(int(least * 10) + crowd)
+    common, rare = ["ab", "cu", "ni", "pe", "si", "o"], [f"w{k}" for k in range(300)]
+    texts = []
+    for _ in range(25):
+        words = [draw.choice(common if draw.random() < 0.4 else rare) for _ in range(draw.randint(1, 160))]
+        for _ in range(draw.randint(1, 6)):
+            texts.append(" ".join(w if draw.random() > 0.02 else draw.choice(rare) for w in words))
+    texts += ["", None, "", texts[0]]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string")
+    anchors = spotsigs.corpus_anchors(docs, 6)
+    assert set(anchors) == set(common)
+    members, links = spotsigs.near_sets(docs, least, anchors, crowd=crowd)
+    want, got = linked_sets(docs, members, links, anchors, least)
+    assert got == want and len(want) > 20
+
+
+def test_near_sets_odd_rows(spark, odd_docs, no_docs):
+    members, links = spotsigs.near_sets(odd_docs)
+    rows = members.collect()
+    assert members.columns == ["doc_id", "class"] and len(rows) == odd_docs.count()
+    classes = {r["doc_id"]: r["class"] for r in rows if r["doc_id"] is not None}
+    assert classes[1] == classes[2] and classes[3] == classes[4] == classes[8]
+    assert all(0.8 <= r["similarity"] < 1 for r in links.collect())
+    members, links = spotsigs.near_sets(no_docs)
+    assert members.count() == links.count() == 0
+
+
+def test_near_sets_stay_native(spark, documents):
+    _, links = spotsigs.near_sets(documents)
+    plan = links._jdf.queryExecution().executedPlan().toString()
+    assert not any(node in plan for node in ("Python", "Pandas", "Arrow", "Cartesian", "NestedLoop"))

@@ -3,15 +3,22 @@
 Common words occur in running text and hardly in lists and menus. Each of them
 with a content word behind it starts a chain: the common word and the next
 ``CHAIN`` content words. A document's fingerprint is the set of its chains'
-hashes. DataFrame functions only.
+hashes. Near documents are found by a join of the sets, partitioned by length.
+DataFrame functions only.
 """
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from urlwarden.llm.common import settle
+
 CHAIN = 2
+CROWD = 512  # sets of a partition that meet at one signature, in one block
+SLACK = 1e-9  # so that rounding loses no pair
 #: Common words of English, German, French and Spanish.
 ANCHORS = (
     "a an and are as at be but by for from had has have he his in is it its not of on or that the their they this to was were "
@@ -147,3 +154,67 @@ def compared(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
         printed(F.col("marks")).alias("fingerprint"), printed(F.col("edited_marks")).alias("edited_fingerprint"),
         likeness(F.col("marks"), F.col("edited_marks")).alias("near_edited"),
         likeness(F.col("marks"), F.col("next_marks")).alias("near_next"))
+
+
+def corpus_anchors(docs: DataFrame, count: int = 120, text_col: str = "text") -> list[str]:
+    """The ``count`` words that stand in most texts, ties by word: common words of whatever languages there are."""
+    words = F.array_distinct(F.split(F.trim(plain_words(F.coalesce(F.col(text_col).cast("string"), F.lit("")))), " "))
+    found = docs.select(F.explode(words).alias("word")).where("word <> ''").groupBy("word").agg(F.count("*").alias("n"))
+    return [row.word for row in found.orderBy(F.desc("n"), "word").limit(count).collect()]
+
+
+def near_sets(
+    docs: DataFrame, least: float = 0.8, anchors: list[str] | None = None, id_col: str = "doc_id", text_col: str = "text", crowd: int = CROWD,
+) -> tuple[DataFrame, DataFrame]:
+    """``id_col, class`` of every row, and ``class_a, class_b, similarity``, once for each linked pair of classes.
+
+    A class is all texts of one signature set, so copies are one row of the join;
+    classes link if the Jaccard similarity of their sets is ``least`` or more.
+    ``anchors`` are the corpus's most common words unless given.
+
+    Sets go to partitions by length, such that linked ones are in one or in
+    neighbouring partitions. Within them, sets meet at their rarest signatures: of
+    any linked pair, each has a common one among its first ``n - ceil(least * n) + 1``.
+    Lengths and places bound the overlap before sets are compared in full. A
+    signature that more than ``crowd`` sets of a partition share is split into
+    blocks, which meet pair by pair, so that no task holds all of them.
+
+    Null and empty texts are of one class, and so are all texts without words; rows
+    with equal or null ids stay apart. No rows give no rows; other columns are not
+    looked at. Texts may be of any length.
+    """
+    if anchors is None:
+        anchors = corpus_anchors(docs, text_col=text_col)
+    marks = signatures(F.col(text_col).cast("string"), anchors) if anchors else F.array(F.hash(plain_words(F.coalesce(F.col(text_col).cast("string"), F.lit("")))))
+    rows = docs.select(F.col(id_col).alias("id"), marks.alias("marks"))
+    rows = settle(rows.withColumn("class", F.sha2(printed(F.col("marks")), 256)))
+    sets = rows.groupBy("class").agg(F.first("marks").alias("marks"))
+    spots = sets.select("class", F.explode("marks").alias("mark"))
+    known = spots.groupBy("mark").agg(F.count("*").alias("n"))
+    rarest = spots.join(known, "mark").groupBy("class").agg(F.sort_array(F.collect_list(F.struct("n", "mark"))).alias("marks"))
+    size = F.size("marks")
+    rarest = rarest.select("class", size.alias("size"), F.posexplode(F.slice("marks", F.lit(1), size - F.ceil(least * size - SLACK).cast("int") + 1)))
+    # A signature of one set alone is met by none.
+    rarest = rarest.where("col.n > 1").select("class", "size", F.col("pos").alias("at"), F.col("col.mark").alias("mark"))
+    length = F.floor(F.log("size") / float(-math.log(least)) + SLACK)
+    rarest = settle(rarest.withColumn("cell", length))
+
+    places = rarest.select("mark", F.explode(F.array("cell", F.col("cell") + 1)).alias("cell")).groupBy("mark", "cell").agg(F.count("*").alias("sets"))
+    blocks = places.where(F.col("sets") > crowd).select("mark", "cell", F.ceil(F.col("sets") / crowd).cast("int").alias("blocks"))
+
+    def dealt(some: DataFrame, mine: str, other: str) -> DataFrame:
+        """Each row in its own block, once for every block of the other side."""
+        some = some.join(blocks, ["mark", "cell"], "left").withColumn("blocks", F.coalesce("blocks", F.lit(1)))
+        return some.withColumn(mine, F.pmod(F.xxhash64("class"), F.col("blocks"))).withColumn(
+            other, F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("blocks").cast("bigint") - 1))).drop("blocks")
+
+    shorter = rarest.select("mark", "class", "size", "at", F.explode(F.array("cell", F.col("cell") + 1)).alias("cell"))
+    a, b = dealt(shorter, "left", "right").alias("a"), dealt(rarest, "right", "left").alias("b")
+    both = (F.col("a.size") + F.col("b.size")) * (least / (1 + least)) - SLACK  # of a linked pair's signatures are common
+    rest = F.least(F.col("a.size") - F.col("a.at"), F.col("b.size") - F.col("b.at"))
+    met = a.join(b, ["mark", "cell", "left", "right"]).where(
+        (F.struct("a.size", "a.class") < F.struct("b.size", "b.class")) & (F.col("a.size") >= least * F.col("b.size") - SLACK) & (rest >= both))
+    met = met.select(F.col("a.class").alias("class_a"), F.col("b.class").alias("class_b")).distinct()
+    one, two = (sets.select(F.col("class").alias(f"class_{side}"), F.col("marks").alias(f"marks_{side}")) for side in "ab")
+    links = met.join(one, "class_a").join(two, "class_b").select("class_a", "class_b", likeness(F.col("marks_a"), F.col("marks_b")).alias("similarity"))
+    return rows.select(F.col("id").alias(id_col), "class"), links.where(F.col("similarity") >= least)
