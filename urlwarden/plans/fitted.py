@@ -18,7 +18,7 @@ from urlwarden.operators.boosting import Boosted, boost
 from urlwarden.plans import corpora
 from urlwarden.plans.oracle import features_sql
 from urlwarden.plans.registry import register, rounded
-from urlwarden.session import checkpoint_dir
+from urlwarden.session import stored
 
 MARKS = ("has_ip_address", "has_at_symbol", "has_https", "has_port", "has_email_format", "has_sensitive_words", "has_suspicious_tld", "has_url_shortener")
 TRUTH_FEATURES = ("has_sensitive_words", "has_multiple_domains", "url_length", "has_suspicious_tld")
@@ -32,8 +32,7 @@ def marked(spark: SparkSession, sf_dir: str) -> DataFrame:
     features = url_features(corpora.addresses(spark, sf_dir).select("url").where("url <> ''").distinct())
     rows = features.where(F.col(MARKS[0]).isNotNull()).select("url", F.expr(corpora.TRUTH).alias("label"), F.expr(HELD).alias("held"), *MARKS)
     assembled = VectorAssembler(inputCols=list(MARKS), outputCol="features_vector").transform(rows)
-    checkpoint_dir(spark)
-    return assembled.select("url", "label", "held", "features_vector").checkpoint()
+    return stored(assembled.select("url", "label", "held", "features_vector"))
 
 
 def fit(frame: DataFrame, rounds: int = ROUNDS, validation: str | None = "held", patience: int = 0) -> Boosted:
