@@ -6,15 +6,21 @@ many brackets are. Spark still reads such a file in byte ranges, cut at a charac
 that may end a record. What a piece does to the state is worked out without knowing
 the state; these effects are composed within a range and, over a table of one row per
 range, across ranges. Then every piece knows the state it begins in. Only pieces of
-records that have several are brought together.
+records that have several are brought together. The lines of CSV files are read twice,
+in their order, once for the effects of ranges and once to be put together: only records
+that lie in several ranges are shuffled.
 """
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from urlwarden.session import checkpoint_dir
+from urlwarden.session import checkpoint_dir, stored
 
 # Quoting of cells and of JSON strings.
 CLOSED_CELLS = r'(^|,)"(?:[^"]|"")*+"(?=,|\r?$)'  # a quoted cell from its first to its last quote
@@ -78,22 +84,123 @@ def joined_pieces(rows: DataFrame, ends: Column, glue: str) -> DataFrame:
     return alone.unionByName(parts.select("file", "record", F.array_join(F.transform("parts", lambda p: p["value"]), glue).alias("value")))
 
 
+def _walker():
+    # Nested on purpose: it travels to the workers by value, so they do not need this package.
+    def stretches(batch: pa.RecordBatch) -> Iterator[tuple[str, int, pa.RecordBatch]]:
+        """The lines of a batch by byte range, in their order: ``file, start`` and the lines."""
+        file, start = batch.column(0), batch.column(1).to_numpy()
+        other = file.slice(1).to_numpy(zero_copy_only=False) != file.slice(0, max(len(file) - 1, 0)).to_numpy(zero_copy_only=False)
+        cuts = np.r_[0, np.flatnonzero((np.diff(start) != 0) | other) + 1, len(start)] if len(start) else [0]
+        for low, high in zip(cuts[:-1], cuts[1:]):
+            yield file[int(low)].as_py(), int(start[low]), batch.slice(int(low), int(high - low))
+
+    def states(state: bool, closed: np.ndarray, opened: np.ndarray) -> np.ndarray:
+        """Whether a quote is open behind each line, if one is or not before the first: the last line that ends alike either
+        way settles it, later ones flip it or not."""
+        settles, flips = closed == opened, np.cumsum(closed & ~opened)
+        last = np.maximum.accumulate(np.where(settles, np.arange(len(closed)), -1))
+        since = np.where(last >= 0, closed[last], state)
+        return since ^ ((flips - np.where(last >= 0, flips[last], 0)) % 2 == 1)
+
+    return stretches, states
+
+
+def _range_effects(lines: DataFrame) -> DataFrame:
+    """``file, start, c, o, ends_c, ends_o``: what a range does from a closed and from an open quote: whether one is open
+    behind it, and how many records end in it."""
+    stretches, states = _walker()
+
+    def flags(batch):
+        return (batch.column(k).to_numpy(zero_copy_only=False).astype(bool) for k in (2, 3))
+
+    def told(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        found: dict[tuple[str, int], list] = {}
+        for batch in batches:
+            for file, start, some in stretches(batch):
+                closed, opened = flags(some)
+                known = found.setdefault((file, start), [False, True, 0, 0])
+                for side in (0, 1):
+                    behind = states(known[side], closed, opened)
+                    known[side], known[2 + side] = bool(behind[-1]), known[2 + side] + int((~behind).sum())
+        if found:
+            yield pa.RecordBatch.from_pylist([dict(zip(("file", "start", "c", "o", "ends_c", "ends_o"), (*key, *known))) for key, known in found.items()])
+
+    return lines.select("file", "start", "c", "o").mapInArrow(told, "file string, start bigint, c boolean, o boolean, ends_c bigint, ends_o bigint")
+
+
+def _put_together(lines: DataFrame) -> DataFrame:
+    """``file, record, start, whole, value`` from the lines with the state ``open`` and number ``record`` that their range
+    begins with: records, and the parts of those that don't lie in one range."""
+    stretches, states = _walker()
+
+    def flags(batch):
+        return (batch.column(k).to_numpy(zero_copy_only=False).astype(bool) for k in (2, 3))
+
+    def told(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        names = ["file", "record", "start", "whole", "value"]
+
+        def rows(file, start, record, whole, value):
+            n = len(record)
+            return pa.RecordBatch.from_arrays([pa.repeat(pa.scalar(file, pa.string()), n), pa.array(record, pa.int64()), pa.repeat(pa.scalar(start, pa.int64()), n),
+                                               pa.array(whole, pa.bool_()), pa.array(value, pa.string()) if isinstance(value, list) else value], names=names)
+
+        at, state, record, head, held = None, False, 0, False, []  # held: lines of a record that goes on; head: it began in an earlier range
+        for batch in batches:
+            for file, start, some in stretches(batch):
+                if at != (file, start):
+                    if held:
+                        yield rows(*at, [record], [False], ["\n".join(held)])
+                    at, held = (file, start), []
+                    state = head = some.column(4)[0].as_py()
+                    record = some.column(5)[0].as_py()
+                closed, opened = flags(some)
+                behind = states(state, closed, opened)
+                before = np.r_[state, behind[:-1]]
+                number = record + np.r_[0, np.cumsum(~behind)[:-1]]
+                text = some.column(6).cast(pa.string())
+                alone = np.flatnonzero(~before & ~behind)
+                if len(alone):
+                    yield rows(file, start, number[alone], np.ones(len(alone), bool), text.take(pa.array(alone)))
+                several = np.flatnonzero(before | behind)
+                done: list[tuple[int, bool, str]] = []
+                for k, line in zip(several.tolist(), text.take(pa.array(several)).to_pylist()):
+                    held.append(line)
+                    if not behind[k]:
+                        done.append((int(number[k]), not head, "\n".join(held)))
+                        held, head = [], False
+                if done:
+                    yield rows(file, start, *map(list, zip(*done)))
+                state, record = bool(behind[-1]), record + int((~behind).sum())
+        if held:
+            yield rows(*at, [record], [False], ["\n".join(held)])
+
+    return lines.select("file", "start", "c", "o", "open", "record", "value").mapInArrow(
+        told, "file string, record bigint, start bigint, whole boolean, value string")
+
+
 def csv_records(spark: SparkSession, path: str) -> DataFrame:
     """``file, record, value``: the text of each record, with the line breaks its quoted cells hold."""
     def left_open(text: Column) -> Column:
         return F.regexp_replace(text, CLOSED_CELLS, "$1").rlike(OPENED_CELL)
 
-    lines = pieces(spark, path, "\n")
     text = F.col("value")
     still = ~text.rlike(REST_OF_CELL) | left_open(F.regexp_replace(text, REST_OF_CELL, ""))
-    known = opened(lines, left_open(text), still)
-    whole = joined_pieces(known, ~F.when(F.col("open"), still).otherwise(left_open(text)), "\n")
+    lines = spark.read.text(path, lineSep="\n").select(
+        F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("start"), left_open(text).alias("c"), still.alias("o"), "value")
+    # A range is one piece of its file: its place in the file takes that of a piece in a range.
+    ranges = stored(_range_effects(lines)).withColumns({"at": F.col("start"), "start": F.lit(0).cast("bigint")})
+    known = before(opened(ranges, F.col("c"), F.col("o")), F.when(F.col("open"), F.col("ends_o")).otherwise(F.col("ends_c")), "record")
+    begun = stored(known.select("file", F.col("at").alias("start"), "open", "record"))
+    parts = stored(_put_together(lines.join(F.broadcast(begun), ["file", "start"])))  # one row per byte range
+    broken = parts.where("NOT whole").groupBy("file", "record").agg(F.array_sort(F.collect_list(F.struct("start", "value"))).alias("parts"))
+    whole = parts.where("whole").select("file", "record", "value").unionByName(
+        broken.select("file", "record", F.array_join(F.transform("parts", lambda p: p["value"]), "\n").alias("value")))
     return whole.withColumn("value", F.regexp_replace("value", r"\r$", "")).where("value <> ''")
 
 
 def read_csv(spark: SparkSession, path: str) -> DataFrame:
     """Rows of CSV files of one header, all columns text: as the plain reader of multi-line files, but in byte ranges."""
-    records = csv_records(spark, path).checkpoint()
+    records = csv_records(spark, path)
     first = records.orderBy("file", "record").limit(1).first()
     if first is None:
         return spark.createDataFrame([], "_c0 string")
