@@ -6,9 +6,11 @@ host, by www-less host, and by the last k labels for every label count k that
 occurs in the safe list. That covers all parent domains without exploding
 rows and without moving them. A bigger table takes the shuffled way: distinct
 hosts, joined with it, and the few hits joined back. A Bloom filter of the table,
-measured before it is broadcast, goes first: rows whose host has no name that may
-be listed are not shuffled at all. The right side of either join is stored, so both
-sides are shuffled by the join itself and Spark can split a hot host's rows among tasks.
+measured before it is broadcast, goes first: hosts without a name that may be listed
+are not joined with it. The hits, one row per listed host, are stored and measured. While
+they are small, they are broadcast and no row moves; else the filter keeps rows that
+can't be listed from the shuffle, and both sides are shuffled by the join itself, so
+that Spark can split a hot host's rows among tasks.
 """
 
 from __future__ import annotations
@@ -21,7 +23,7 @@ from pyspark.sql import functions as F
 
 from urlwarden.functions.hosts import last_labels, parent_domains, strip_www
 from urlwarden.operators.prefilter import Prefilter, build, maybe_any
-from urlwarden.session import checkpoint_dir
+from urlwarden.session import checkpoint_dir, may_travel, stored
 
 IN_WHITELIST, IN_SAFE, IN_BLACKLIST = 1, 2, 4
 MAX_BROADCAST_ROWS = 1_000_000
@@ -97,16 +99,10 @@ def may_be_listed(df: DataFrame, lists: DomainLists, host: str) -> DataFrame:
     return maybe_any(df, lists.prefilter, F.transform(_names(F.col(host)), lambda n: n["domain"]), "__maybe")
 
 
-def _shuffled_masks(df: DataFrame, lists: DomainLists, host: str) -> tuple[DataFrame, Column, Column]:
-    nothing = F.lit(None).cast("int")
-    asked, rest = df, None
-    if not df.isStreaming:
-        marked = may_be_listed(df, lists, host)
-        asked = marked.where("__maybe").drop("__maybe")
-        rest = marked.where("NOT __maybe").drop("__maybe").withColumns({"__exact": nothing, "__any": nothing})
-    hosts = asked.select(F.col(host).alias("__host")).where(F.col("__host").isNotNull()).distinct()
+def _hits(hosts: DataFrame, lists: DomainLists, host: str) -> DataFrame:
+    """``host, __exact, __any`` of the listed ones among the rows of ``__host``."""
     candidates = hosts.select("__host", F.explode(_names(F.col("__host"))).alias("c")).select("__host", "c.domain", "c.exact")
-    hits = (
+    return (
         candidates.join(lists.table, "domain")
         .groupBy("__host")
         .agg(
@@ -115,10 +111,21 @@ def _shuffled_masks(df: DataFrame, lists: DomainLists, host: str) -> tuple[DataF
         )
         .withColumnRenamed("__host", host)
     )
-    if rest is not None:
-        hits = hits.checkpoint()
-    joined = asked.join(hits, host, "left").select(*df.columns, "__exact", "__any")
-    return joined if rest is None else joined.unionByName(rest), F.col("__exact"), F.col("__any")
+
+
+def _shuffled_masks(df: DataFrame, lists: DomainLists, host: str) -> tuple[DataFrame, Column, Column]:
+    hosts = df.select(F.col(host).alias("__host")).where(F.col("__host").isNotNull()).distinct()
+    masks = F.col("__exact"), F.col("__any")
+    if df.isStreaming:
+        return df.join(_hits(hosts, lists, host), host, "left").select(*df.columns, *masks), *masks
+    hits = stored(_hits(may_be_listed(hosts, lists, "__host").where("__maybe"), lists, host))
+    if may_travel(hits):
+        return df.join(F.broadcast(hits), host, "left").select(*df.columns, *masks), *masks
+    nothing = F.lit(None).cast("int")
+    marked = may_be_listed(df, lists, host)
+    asked = marked.where("__maybe").join(hits, host, "left").select(*df.columns, *masks)
+    rest = marked.where("NOT __maybe").drop("__maybe").withColumns({"__exact": nothing, "__any": nothing})
+    return asked.unionByName(rest), *masks
 
 
 def with_list_flags(df: DataFrame, lists: DomainLists, host: str = "hostname") -> DataFrame:
