@@ -1,13 +1,16 @@
 """Steps whose shuffles and tasks must not grow beside the input."""
 
 import hashlib
+import math
 import random
+import struct
+import sys
 
 import pytest
 from pyspark.ml.linalg import Vectors
 from pyspark.sql import functions as F
 
-from urlwarden.operators import listmatch, splits, training
+from urlwarden.operators import listmatch, metrics, splits, training
 from urlwarden.session import FIRST_PARTS, PART_BYTES, may_travel, stored, tune
 from urlwarden.sources import records
 
@@ -84,3 +87,29 @@ def test_whole_records_are_not_shuffled(spark, tmp_path):
     numbers = found.groupBy("file").agg(F.count("*").alias("n"), F.count_distinct("record").alias("k"), F.max("record").alias("last")).collect()
     assert [(r.n, r.k, r.last) for r in numbers] == [(101, 101, 100)] * 2
     assert records.read_csv(spark, str(tmp_path)).where("v LIKE 'x\n%'").count() == 100
+
+
+def test_places_of_scores_are_those_of_doubles(spark):
+    rng, by_bits = random.Random(3), lambda b: struct.unpack("<d", struct.pack("<q", b))[0]
+    near = [math.nextafter(2.0 ** k, way) for k in range(-1074, 1024) for way in (0, math.inf)] + [2.0 ** k for k in range(-1074, 1024)]
+    some = [x for x in [0.0, math.inf, sys.float_info.max, *near, *(by_bits(rng.getrandbits(63)) for _ in range(3000))] if x == x]
+    rows = [(x, struct.unpack("<q", struct.pack("<d", x))[0]) for x in some]
+    rows += [(-x, -b) for x, b in rows]
+    df = spark.createDataFrame(rows, "score double, want bigint")
+    assert df.where(metrics.place(F.col("score")) != F.col("want")).count() == 0
+    last = spark.createDataFrame([(math.nan,), (math.inf,)], "score double").orderBy(F.desc(metrics.place(F.col("score")))).first().score
+    assert math.isnan(last)
+
+
+def test_auc_of_tiny_scores_holds_few_rows_in_a_window(spark):
+    """Scores of 1e-26 all fell into one cell before, and so into one window."""
+    rng = random.Random(4)
+    rows = [(rng.choice([-1, 1]) * rng.random() * 1e-26, rng.randrange(2)) for _ in range(2000)]
+    df = stored(spark.createDataFrame(rows, "score double, label int"))
+    cells = df.select(metrics.place(F.col("score")).alias("at")).groupBy(F.shiftright("at", metrics.CELL_BITS)).count()
+    assert cells.agg(F.max("count")).first()[0] <= 2
+    order = sorted(rows)
+    neg, above = 0, 0
+    for _, y in order:
+        neg, above = neg + (y == 0), above + (neg if y else 0)
+    assert metrics.roc_auc(df).first().auc == pytest.approx(above / (neg * (len(rows) - neg)), abs=1e-12)
