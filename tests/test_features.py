@@ -140,3 +140,18 @@ def test_properties(spark, sf_dir):
         "or has_suspicious_protocol <> 0 or has_obfuscation <> greatest(has_base64_encoding, has_hex_encoding)"
     )
     assert bad.count() == 0 and f.count() == pages.count()
+
+
+def test_letters_and_capitals_need_no_search_of_their_own(spark):
+    """Letters follow from digits and marks, capitals are searched for only where lower case changes the text."""
+    rows = [("http://ab1.com/X-y2",), ("http://É1²③.com/Ⅷaa9",), ("http://plain.example/9",), ("ДОМ.рф/a٣",), ("ﬁx.com/ǅ",)]
+    df = spark.createDataFrame(rows, "url string")
+    got = url_features(df, features=("qty_uppercase_url", "qty_percent_alpha", "qty_digits_url"))
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    assert plan.count(r"\p{Alpha}+") == 0
+    for r in got.collect():
+        letters = sum(unicodedata.category(c).startswith("L") for c in r.url)
+        assert r.qty_percent_alpha == pytest.approx(letters / len(r.url))
+        if r.url.isascii():
+            assert r.qty_uppercase_url == sum(c.isupper() for c in r.url)
+            assert r.qty_digits_url == sum(c.isdigit() for c in r.url)
