@@ -1,10 +1,13 @@
 """Steps whose shuffles and tasks must not grow beside the input."""
 
 import hashlib
+import json
 import math
 import random
 import struct
+import subprocess
 import sys
+from pathlib import Path
 
 import pytest
 from pyspark.ml.linalg import Vectors
@@ -113,3 +116,34 @@ def test_auc_of_tiny_scores_holds_few_rows_in_a_window(spark):
     for _, y in order:
         neg, above = neg + (y == 0), above + (neg if y else 0)
     assert metrics.roc_auc(df).first().auc == pytest.approx(above / (neg * (len(rows) - neg)), abs=1e-12)
+
+
+FOLD_AUCS = """
+import sys
+repo, top = sys.argv[1:]
+sys.path.insert(0, repo)
+from pyspark.sql import SparkSession
+from urlwarden.plans.registry import QUERIES
+spark = SparkSession.builder.master("local[8]").config(map={
+    "spark.ui.enabled": "false", "spark.driver.host": "127.0.0.1", "spark.sql.session.timeZone": "UTC", "spark.sql.shuffle.partitions": "2",
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "512k", "spark.sql.adaptive.coalescePartitions.minPartitionSize": "256k",
+    "spark.checkpoint.dir": top + "/shared", "spark.local.dir": top + "/local", "spark.sql.warehouse.dir": top + "/tables",
+    "spark.eventLog.enabled": "true", "spark.eventLog.dir": "file://" + top + "/events",
+    "spark.eventLog.rolling.enabled": "false", "spark.eventLog.compress": "false"}).getOrCreate()
+spark.range(0, 240_000, numPartitions=4).selectExpr(
+    "id AS l_orderkey", "int(id % 7) AS l_linenumber", "if(xxhash64(id) % 3 = 0, 'R', 'N') AS l_returnflag",
+    "0.01D AS l_discount", "0.02D AS l_tax", "double(pmod(xxhash64(id, 1), 1000000007)) AS l_extendedprice").write.parquet(top + "/lineitem.parquet")
+print(*QUERIES["fold_aucs_best"].plan(spark, top).first())
+"""
+
+
+def test_tasks_of_fold_aucs_read_no_more_than_parts_hold(tmp_path):
+    """A task read 10.8 MB of these rows while shuffles had few parts and rows were ranked; now twice the size that parts are joined up to, at most."""
+    (tmp_path / "events").mkdir()
+    repo = str(Path(__file__).resolve().parents[1])
+    done = subprocess.run([sys.executable, "-c", FOLD_AUCS, repo, str(tmp_path)], capture_output=True, text=True, timeout=300, check=True)
+    fold, auc = done.stdout.split()[-2:]
+    assert 1 <= int(fold) <= 5 and 0.48 < float(auc) < 0.52
+    events = (json.loads(line) for file in (tmp_path / "events").iterdir() for line in file.open())
+    reads = [e["Task Metrics"]["Shuffle Read Metrics"] for e in events if e["Event"] == "SparkListenerTaskEnd"]
+    assert max(r["Local Bytes Read"] + r["Remote Bytes Read"] for r in reads) < 1 << 20
