@@ -453,6 +453,58 @@ def test_attention_is_causal_and_adds_up(small_model):
         assert total == pytest.approx(1, abs=1e-4)
 
 
+def test_scoring_works_out_each_place_once(small_model, monkeypatch):
+    """Places that a window only looks at have no last layer, so it grows by the places scored, not by the windows."""
+    codes, p, windows = small_model
+    worked, last = [], attention.Scorer.last
+    monkeypatch.setattr(attention.Scorer, "last", lambda *a: worked.append(last(*a)) or worked[-1])
+    row = windows[:20].ravel()
+    attention.Scorer(p, codes, np.array([True, False] * 3)).logs([row])
+    assert len(row) - 1 <= sum(len(attention.flat(x)) for x in worked) <= len(row) - 1 + attention.STRIDE
+
+
+def test_codes_by_tail(small_model):
+    codes, _, windows = small_model
+    some = windows.ravel()
+    head = codes.heads[some]
+    assert head.tolist() == [c if c <= 6 else 7 if c < 10 else 8 if c < 14 else 9 for c in some.tolist()]
+    assert [x.tolist() for x in codes.by_tail(head)] == [np.flatnonzero(head == tail).tolist() for tail in (7, 8, 9)]
+    assert [len(x) for x in codes.by_tail(head[:0])] == [0, 0, 0]
+
+
+def test_adam_by_its_formula(small_model):
+    codes, p, windows = small_model
+    lengths = np.full(len(windows), attention.LENGTH + 1)
+    plain = {k: v.copy() for k, v in p.items()}
+    own = {k: v.copy() for k, v in p.items()}
+    first, second = ({k: np.zeros_like(v) for k, v in p.items()} for _ in range(2))
+    adam = attention.Adam(own, codes)
+    for n in (1, 2, 3):
+        use = np.ones((len(windows), attention.LENGTH), bool)
+        g = attention.gradients(plain, codes, windows[:, :-1], windows[:, 1:], use)
+        for k in plain:
+            first[k] = 0.9 * first[k] + 0.1 * g[k]
+            second[k] = 0.99 * second[k] + 0.01 * g[k] ** 2
+            plain[k] = plain[k] - 1e-3 * (first[k] / (1 - 0.9 ** n)) / (np.sqrt(second[k] / (1 - 0.99 ** n)) + 1e-8)
+        adam.step(windows, lengths, 1e-3)
+    assert own is adam.p and all(np.allclose(own[k], plain[k], atol=1e-5) for k in plain)
+
+
+def test_texts_are_encoded_in_groups_of_bytes(spark, monkeypatch):
+    """Ids don't depend on what is encoded in one go, and known cuts are looked up in rising order."""
+    monkeypatch.setattr(lm, "ENCODED_BYTES", 60)
+    texts = [None, "", "the cat", "zebra " * 40, "It's 12 o'clock", "\u4e2d\u6587 caf\u00e9", "a", None, "the cat sat on the mat " * 3]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string").select("doc_id", F.col("text").cast("binary").alias("text"))
+    encoder = lm.subwords(BYTE_BPE)
+    words = [tokens_of(text)[:-1] for text in texts]
+    want = {k: encoder.ids(" " + " ".join(some)) if some else b"" for k, some in enumerate(words)}
+    assert {r["doc_id"]: bytes(r["ids"]) for r in lm.encoded(docs.coalesce(1), BYTE_BPE).collect()} == want
+    looked, places = [], type(encoder).places
+    monkeypatch.setattr(type(encoder), "places", lambda self, hashes: looked.append(hashes) or places(self, hashes))
+    encoder.encode_group([b"the cat sat on a mat by the door", b"new words 17"])
+    assert looked and all((hashes[1:] > hashes[:-1]).all() for hashes in looked)
+
+
 def test_lm_scores_do_not_depend_on_partitions(spark, sf_dir, monkeypatch):
     monkeypatch.setattr(lm, "SHARD_TOKENS", 4_000)  # many shards, and models added in two steps
     monkeypatch.setattr(lm, "ADDED", 4)
