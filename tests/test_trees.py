@@ -6,8 +6,9 @@ from pyspark.ml.classification import GBTClassifier
 from pyspark.ml.functions import array_to_vector
 from pyspark.sql import functions as F
 
-from urlwarden.operators import boosting, curves, training, trees
+from urlwarden.operators import boosting, curves, splits, training, trees
 from urlwarden.operators.metrics import roc_auc
+from urlwarden.plans import registry
 
 
 @pytest.fixture(scope="module")
@@ -92,3 +93,19 @@ def test_checkpoints_between_rounds_change_nothing(rows, monkeypatch):
 def test_only_one_class_is_never_judged(rows):
     done = boosting.boost(rows.where("label = 1 OR NOT held"), 3, 0.5, 1, validation="held", patience=1)
     assert done.fitted == 3 and done.best_iter == 2 and {auc for _, auc in done.curve} == {None}
+
+
+def test_learning_curve_shows_rows_that_no_round_learned_from(spark, tmp_path):
+    pages = [(k, f"https://www.site{k % 7}.example{k}.com/en/{'login' if k % 3 else 'p' * (k % 40)}") for k in range(40)]
+    spark.createDataFrame(pages, "page_id bigint, url string").write.parquet(str(tmp_path / "pages.parquet"))
+    got = {(r["dataset"], r["iter"]): r for r in registry.QUERIES["learning_curve"].plan(spark, str(tmp_path)).collect()}
+    rounds = registry.SMALL_PARAMS.iterations
+    assert sorted(got) == sorted((name, k) for name in ("train", "test") for k in range(rounds))
+    parts = splits.stratified_holdout(registry._vectors(spark, str(tmp_path))).checkpoint()
+    learned, held = (parts.where(F.col("split") == name) for name in ("train", "test"))
+    assert held.count() == pytest.approx(parts.count() / 5, abs=1)
+    model = training.fit_gbt(learned, registry.SMALL_PARAMS)
+    for name, rows in (("train", learned), ("test", held)):
+        assert [2 * got[name, k]["Logloss"] for k in range(rounds)] == pytest.approx(model.evaluateEachIteration(rows), rel=1e-6)
+        scored = training.score(rows, model)
+        assert got[name, rounds - 1]["AUC"] == pytest.approx(roc_auc(scored, "label", "probability_phishing").first()["auc"], abs=1e-9)
