@@ -1,12 +1,15 @@
 """Records of one file read by many tasks, against the plain readers."""
 
+import gzip
 import json
 import random
+from datetime import datetime
 
 import pytest
 from pyspark.sql import functions as F
 
-from urlwarden.sources import readers, records
+from urlwarden.functions.vocab import FEATURE_NAMES
+from urlwarden.sources import readers, records, writers
 
 
 @pytest.fixture()
@@ -100,3 +103,44 @@ def test_empty_files(spark, tmp_path):
     (tmp_path / "a.json").write_text("[]")
     assert records.json_objects(spark, str(tmp_path / "a.json")).count() == 0
     assert records.json_objects(spark, str(tmp_path / "a.json")).select(F.max("record")).first()[0] is None
+
+
+@pytest.mark.parametrize("newline", ["\n", "\r\n"])
+def test_files_that_cannot_be_cut_are_read_once(spark, tmp_path, small_ranges, newline):
+    rng = random.Random(newline)
+    rows = [[f"u{k}", cell(rng), cell(rng), str(k)] for k in range(300)]
+    for kind, folder in ((gzip.open, tmp_path / "odd %41 names"), (open, tmp_path / "plain")):
+        folder.mkdir()
+        for k in range(4):
+            text = newline.join(["url,first,second,n"] * (k < 3) + [",".join(quoted(c, rng) for c in row) for row in rows[k * 100:][:100]]) + newline * (k < 3)
+            with kind(folder / f"b {k}.csv{'.gz' if kind is gzip.open else ''}", "wb") as f:
+                f.write((text + 'open,"end' * (k == 1)).encode())
+        with kind(folder / f"a.csv{'.gz' if kind is gzip.open else ''}", "wb") as f:
+            f.write(b"")
+    uncut = records.csv_records(spark, str(tmp_path / "odd %41 names"))
+    assert "stored-" not in " ".join(uncut.inputFiles()) and "Exchange" not in uncut._jdf.queryExecution().toString()
+    assert records._first_record(spark, str(tmp_path / "odd %41 names"), uncut) == "url,first,second,n"
+    found, plain = (sorted(map(tuple, records.read_csv(spark, path).fillna("-").collect()))
+                    for path in (str(tmp_path / "odd %41 names"), str(tmp_path / "plain")))
+    assert found == plain and {r[0] for r in found} == {r[0] for r in rows} | {"open"}
+    (tmp_path / "none").mkdir()
+    with gzip.open(tmp_path / "none" / "a.csv.gz", "wb") as f:
+        f.write(b"")
+    assert records.read_csv(spark, str(tmp_path / "none")).count() == 0
+
+
+def test_predictions_take_little_disk(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(writers, "FILE_ROWS", 300)
+    values = [F.when(F.col("id") % (k + 2) == 0, F.col("id") * 7 % 101).otherwise(0).alias(name) for k, name in enumerate(FEATURE_NAMES)]
+    rows = spark.range(0, 2000, 1, 4).select(
+        F.concat(F.lit('http://x\n"'), "id", F.lit(',\r\n/a')).alias("url"), F.lit(1).alias("prediction"), F.struct(*values).alias("features"))
+    path = writers.write_predictions(rows, str(tmp_path), datetime(2026, 1, 1))
+    files = list((tmp_path / "results_20260101_000000.csv").glob("part-*"))
+    text = rows.agg(F.sum(F.octet_length(F.to_json("features")))).first()[0]
+    assert len(files) == 8 and sum(f.stat().st_size for f in files) < text / 5
+    assert records._first_record(spark, path, None) == "url,prediction,features"  # one file tells the names
+    back = records.read_csv(spark, path)
+    wanted = rows.select("url", F.col("prediction").cast("string"), F.to_json("features"))
+    assert sorted(map(tuple, back.collect())) == sorted(map(tuple, wanted.collect()))
+    plain = writers.write_predictions(rows, str(tmp_path), datetime(2026, 1, 2), compression="none")
+    assert sorted(map(tuple, records.read_csv(spark, plain).collect())) == sorted(map(tuple, wanted.collect()))

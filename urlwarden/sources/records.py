@@ -8,7 +8,8 @@ the state; these effects are composed within a range and, over a table of one ro
 range, across ranges. Then every piece knows the state it begins in. Only pieces of
 records that have several are brought together. The lines of CSV files are read twice,
 in their order, once for the effects of ranges and once to be put together: only records
-that lie in several ranges are shuffled.
+that lie in several ranges are shuffled. Files of a codec that can't be cut are one range
+each, so their lines are read once and nothing of them is stored.
 """
 
 from __future__ import annotations
@@ -23,9 +24,9 @@ from pyspark.sql import functions as F
 from urlwarden.session import checkpoint_dir, stored
 
 # Quoting of cells and of JSON strings.
-CLOSED_CELLS = r'(^|,)"(?:[^"]|"")*+"(?=,|\r?$)'  # a quoted cell from its first to its last quote
+CLOSED_CELLS = r'(^|,)"[^"]*+(?:""[^"]*+)*+"(?=,|\r?$)'  # a quoted cell from its first to its last quote
 OPENED_CELL = r'(^|,)"'
-REST_OF_CELL = r'^(?:[^"]|"")*+"(?=,|\r?$)'  # what an open cell still holds up to its last quote
+REST_OF_CELL = r'^[^"]*+(?:""[^"]*+)*+"(?=,|\r?$)'  # what an open cell still holds up to its last quote
 ESCAPED = r"\\."
 
 
@@ -178,15 +179,44 @@ def _put_together(lines: DataFrame) -> DataFrame:
         told, "file string, record bigint, start bigint, whole boolean, value string")
 
 
-def csv_records(spark: SparkSession, path: str) -> DataFrame:
-    """``file, record, value``: the text of each record, with the line breaks its quoted cells hold."""
+def _uncut(spark: SparkSession, names: list[str]) -> bool:
+    """Whether every file has a codec, by the end of its name, with which one task reads it from its beginning."""
+    compress = spark.sparkContext._jvm.org.apache.hadoop.io.compress
+    known = compress.CompressionCodecFactory(spark.sparkContext._jsc.hadoopConfiguration())
+    cuttable = spark.sparkContext._jvm.java.lang.Class.forName("org.apache.hadoop.io.compress.SplittableCompressionCodec")
+    for end in {name.rsplit("/", 1)[-1].rpartition(".")[2] for name in names}:
+        codec = known.getCodec(spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"name.{end}"))
+        if codec is None or cuttable.isInstance(codec):
+            return False
+    return bool(names)
+
+
+def _csv_lines(spark: SparkSession, path: str) -> DataFrame:
+    """``file, start, c, o, value``: lines, and whether a quote is open behind one that begins closed or open."""
     def left_open(text: Column) -> Column:
         return F.regexp_replace(text, CLOSED_CELLS, "$1").rlike(OPENED_CELL)
 
     text = F.col("value")
     still = ~text.rlike(REST_OF_CELL) | left_open(F.regexp_replace(text, REST_OF_CELL, ""))
-    lines = spark.read.text(path, lineSep="\n").select(
+    return spark.read.text(path, lineSep="\n").select(
         F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("start"), left_open(text).alias("c"), still.alias("o"), "value")
+
+
+def _filled(records: DataFrame) -> DataFrame:
+    return records.withColumn("value", F.regexp_replace("value", r"\r$", "")).where("value <> ''")
+
+
+def _uncut_records(lines: DataFrame) -> DataFrame:
+    """``file, record, value`` of files that are one range each: no quote is open where they begin."""
+    begun = lines.withColumns({"open": F.lit(False), "record": F.lit(0).cast("bigint")})
+    return _filled(_put_together(begun).select("file", "record", "value"))
+
+
+def csv_records(spark: SparkSession, path: str) -> DataFrame:
+    """``file, record, value``: the text of each record, with the line breaks its quoted cells hold."""
+    lines = _csv_lines(spark, path)
+    if _uncut(spark, lines.inputFiles()):
+        return _uncut_records(lines)
     # A range is one piece of its file: its place in the file takes that of a piece in a range.
     ranges = stored(_range_effects(lines)).withColumns({"at": F.col("start"), "start": F.lit(0).cast("bigint")})
     known = before(opened(ranges, F.col("c"), F.col("o")), F.when(F.col("open"), F.col("ends_o")).otherwise(F.col("ends_c")), "record")
@@ -195,18 +225,30 @@ def csv_records(spark: SparkSession, path: str) -> DataFrame:
     broken = parts.where("NOT whole").groupBy("file", "record").agg(F.array_sort(F.collect_list(F.struct("start", "value"))).alias("parts"))
     whole = parts.where("whole").select("file", "record", "value").unionByName(
         broken.select("file", "record", F.array_join(F.transform("parts", lambda p: p["value"]), "\n").alias("value")))
-    return whole.withColumn("value", F.regexp_replace("value", r"\r$", "")).where("value <> ''")
+    return _filled(whole)
+
+
+def _first_record(spark: SparkSession, path: str, records: DataFrame) -> str | None:
+    """The first record of the first file that has one. Of files that can't be cut, only the first is read for it, if it has any."""
+    lines = _csv_lines(spark, path)
+    names = lines.inputFiles()
+    found = None
+    if _uncut(spark, names):
+        name = min(names).replace("file:///", "file:/", 1)  # as the column has it
+        found = _uncut_records(lines.where(F.col("file") == name)).orderBy("record").limit(1).first()
+    found = found or records.orderBy("file", "record").limit(1).first()
+    return found["value"] if found else None
 
 
 def read_csv(spark: SparkSession, path: str) -> DataFrame:
     """Rows of CSV files of one header, all columns text: as the plain reader of multi-line files, but in byte ranges."""
     records = csv_records(spark, path)
-    first = records.orderBy("file", "record").limit(1).first()
+    first = _first_record(spark, path, records)
     if first is None:
         return spark.createDataFrame([], "_c0 string")
     options = {"quote": '"', "escape": '"', "maxCharsPerColumn": "-1"}
-    named = spark.createDataFrame([(first["value"],)], "value string").select(
-        F.from_csv("value", _texts([f"_c{k}" for k in range(first["value"].count(",") + 1)]), options).alias("r")).first()["r"]
+    named = spark.createDataFrame([(first,)], "value string").select(
+        F.from_csv("value", _texts([f"_c{k}" for k in range(first.count(",") + 1)]), options).alias("r")).first()["r"]
     names = [name for name in named if name is not None]
     schema = _texts(names)
     rows = records.where("record > 0").select(F.from_csv("value", schema, options).alias("r"))

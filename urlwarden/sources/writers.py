@@ -10,6 +10,8 @@ from pyspark.sql import functions as F
 
 from urlwarden.functions.features import url_features
 
+FILE_ROWS = 50_000  # of a file of predictions, some 75 MB of text
+
 
 def write_merged(df: DataFrame, path: str, fmt: str = "csv") -> None:
     writer = df.select("url", "label").write.mode("overwrite")
@@ -19,11 +21,12 @@ def write_merged(df: DataFrame, path: str, fmt: str = "csv") -> None:
         writer.format(fmt).save(path)
 
 
-def write_predictions(records: DataFrame, folder: str, now: datetime | None = None) -> str:
-    """CSV under ``results_<time>.csv`` with the features as JSON text."""
+def write_predictions(records: DataFrame, folder: str, now: datetime | None = None, compression: str = "gzip") -> str:
+    """CSV under ``results_<time>.csv`` with the features as JSON text. That repeats 73 names in each row, so the files
+    are compressed; each is read by one task, so they hold ``FILE_ROWS`` rows at most."""
     path = f"{folder.rstrip('/')}/results_{(now or datetime.now()):%Y%m%d_%H%M%S}.csv"
     flat = records.withColumn("features", F.to_json("features"))
-    flat.write.mode("overwrite").csv(path, header=True, quote='"', escape='"')
+    flat.write.mode("overwrite").option("maxRecordsPerFile", FILE_ROWS).csv(path, header=True, quote='"', escape='"', compression=compression)
     return path
 
 
